@@ -243,22 +243,40 @@ DELIVERY_SQL = {
     "pr_pizza_toppings": """
         select cast(n_nationkey + 1 as integer) as topping_id, n_name as topping_name from nation""",
     # PR-C1..C9 applied in order: null tokens, then unit stripping
-    "pr_customer_orders": """
-        select order_id, customer_id, pizza_id,
-          case when exclusions not in ('null', '') then exclusions end as exclusions,
-          case when extras not in ('null', '') then extras end as extras,
-          order_time
-        from pr_customer_orders_raw""",
-    "pr_runner_orders": """
-        select order_id, runner_id,
-          case when pickup_time <> 'null' then pickup_time end as pickup_time,
-          trim(regexp_replace(case when distance <> 'null' then distance end, '(km|\\s)', '', 'g')) as distance,
-          trim(regexp_replace(case when duration <> 'null' then duration end, '(minutes|minute|mins|\\s)', '', 'g')) as duration,
-          case when cancellation not in ('null', '') then cancellation end as cancellation
-        from pr_runner_orders_raw""",
+    "pr_customer_orders": None,
+    "pr_runner_orders": None,
 }
 
 
+# Cleaning steps as (column, new expression), applied in order.
+CUSTOMER_ORDER_STEPS_SQL = [
+    ("exclusions", "case when exclusions not in ('null', '') then exclusions end"),     # PR-C1
+    ("extras", "case when extras not in ('null', '') then extras end"),                 # PR-C2
+]
+RUNNER_ORDER_STEPS_SQL = [
+    ("duration", "case when duration <> 'null' then duration end"),                     # PR-C3
+    ("cancellation", "case when cancellation not in ('null', '') then cancellation end"),  # PR-C4
+    ("distance", "case when distance <> 'null' then distance end"),                     # PR-C5
+    ("pickup_time", "case when pickup_time <> 'null' then pickup_time end"),            # PR-C6
+    ("distance", "trim(replace(replace(distance, 'km', ''), ' ', ''))"),                # PR-C7
+    ("duration", "trim(replace(replace(replace(replace(duration, 'minute', ''), 'minutes', ''), "
+                 "'mins', ''), ' ', ''))"),                                              # PR-C8
+    ("duration", "trim(replace(duration, 's', ''))"),                                   # PR-C9
+]
+
+
+def steps_sql(source: str, steps) -> str:
+    """Nest ``select * replace (...)`` once per step over ``source``."""
+    q = f"select * from {source}"
+    for col, expr in steps:
+        q = f"select * replace ({expr} as {col}) from ({q})"
+    return q
+
+
+DELIVERY_SQL["pr_customer_orders"] = steps_sql("pr_customer_orders_raw", CUSTOMER_ORDER_STEPS_SQL)
+DELIVERY_SQL["pr_runner_orders"] = steps_sql("pr_runner_orders_raw", RUNNER_ORDER_STEPS_SQL)
+
+
 # --------------------------------------------------------------------------
 # Subscriptions: subscriptions (customer_id, plan_id, start_date),
 #                plans (plan_id, plan_name, price)
