@@ -16,9 +16,9 @@ from types import SimpleNamespace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from casebook.functions.numeric import MONEY, TOTAL, int_div
+from casebook.operators.sequence import neighbor
 from casebook.sources.tables import Tables
 
 OPEN_END = dt.date(9999, 12, 31)
@@ -346,8 +346,7 @@ def bank(t: Tables) -> SimpleNamespace:
     regions = t.region.select(F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region_name"))
     cust_region = t.customer.select("c_custkey", "c_nationkey").join(
         t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"), "c_nationkey")
-    w = Window.partitionBy("customer_id").orderBy("start_date", "o_orderkey")
-    nodes = (
+    spans = (
         t.orders.select("o_custkey", "o_orderkey", "o_orderdate")
         .join(cust_region, F.col("o_custkey") == F.col("c_custkey"))
         .select(
@@ -357,9 +356,11 @@ def bank(t: Tables) -> SimpleNamespace:
             _date("o_orderdate").alias("start_date"),
             "o_orderkey",
         )
-        .withColumn("end_date", F.coalesce(F.lead("start_date").over(w), F.lit(OPEN_END)))
-        .drop("o_orderkey")
     )
+    # a node allocation ends where the customer's next one starts (open end: sentinel)
+    nodes = (neighbor(spans, ["customer_id"], ["start_date", "o_orderkey"], "start_date", "end_date", "next")
+             .withColumn("end_date", F.coalesce(F.col("end_date"), F.lit(OPEN_END)))
+             .drop("o_orderkey"))
     txns = t.orders.select(
         F.col("o_custkey").alias("customer_id"),
         _date("o_orderdate").alias("txn_date"),
