@@ -31,12 +31,12 @@ def strip_units(c, units) -> Column:
 
 def to_number(c, type_: str = "double") -> Column:
     """Text to number; malformed text becomes NULL instead of failing."""
-    return F.try_cast(col_(c), type_) if hasattr(F, "try_cast") else col_(c).try_cast(type_)
+    return col_(c).try_cast(type_)
 
 
 def parse_date(c, fmt: str) -> Column:
     """Text to DATE with a Spark datetime pattern; bad text becomes NULL."""
-    return F.try_to_date(col_(c), F.lit(fmt))
+    return F.try_to_date(col_(c), fmt)
 
 
 def week_mode0(d) -> Column:
