@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casebook.session import checkpoint_dir
+
 
 def _pairs(pt: DataFrame) -> DataFrame:
     a, b = pt.alias("a"), pt.alias("b")
@@ -41,7 +43,10 @@ def triple_counts(items: DataFrame, basket: str, item: str, k: int = 1,
     """All item triples (i1 < i2 < i3) whose basket count is at least the
     pruning bound, with ``combo_count``. The ``k`` most frequent triples and
     everything tied with them are always included."""
-    pt = items.select(F.col(basket).alias("basket"), F.col(item).alias("item")).distinct()
+    # distinct (basket, item), written once: the steps below read it five times
+    checkpoint_dir(items.sparkSession)
+    pt = (items.select(F.col(basket).alias("basket"), F.col(item).alias("item")).distinct()
+          .checkpoint(eager=True))
     support = pt.groupBy("item").agg(F.count(F.lit(1)).alias("s"))
 
     seed = support.orderBy(F.desc("s"), F.asc("item")).limit(seed_items).select("item")

@@ -6,9 +6,10 @@ same value, the one at a given 1-based rank of the ascending order, in a
 fixed number of distributed steps:
 
 1. collapse equal values to (value, multiplicity): map-side combined, so a
-   value repeated a billion times costs one row;
-2. cut each group into ~``buckets`` ranges with ``percentile_approx`` (a
-   mergeable sketch, partial-aggregated);
+   value repeated a billion times costs one row; this table is checkpointed
+   (shared ``spark.checkpoint.dir``) because the next steps read it 3 times;
+2. cut each group's distinct values into ~``buckets`` ranges with
+   ``percentile_approx`` (a mergeable sketch, partial-aggregated);
 3. count rows per (group, bucket): at most groups x buckets rows; running
    sums over that small table give each bucket's rank offset;
 4. only the buckets that hold a wanted rank are ranked exactly, each in its
@@ -26,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from casebook.session import checkpoint_dir
+
 RankFn = Callable[[Column], Column]
 
 
@@ -50,13 +53,19 @@ def ordinal_pick(df: DataFrame, value: str, picks: dict[str, RankFn],
     below 1 or above n."""
     by = list(by)
     names = list(picks)
-    v = df.select(*by, F.col(value).alias("_v"))
     fractions = [i / buckets for i in range(1, buckets)]
 
-    counts = v.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    stats = v.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", fractions, 20 * buckets).alias("_bounds"))
+    # (group, value, multiplicity), written once: every later step reads this
+    # copy instead of recomputing the input (often a join plus an aggregate)
+    checkpoint_dir(df.sparkSession)
+    counts = (df.groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+              .withColumn("_d", F.col("_v").cast("double"))
+              .checkpoint(eager=True))
+    # bucket bounds over the distinct values (what a bucket's window sorts);
+    # only monotonicity matters for the bounds, so they are taken on DOUBLE
+    stats = counts.groupBy(*by).agg(
+        F.sum("_c").alias("_n"),
+        F.percentile_approx("_d", fractions, 20 * buckets).alias("_bounds"))
 
     if by:
         keyed_counts, keyed_stats, keys = counts, stats, by
@@ -67,7 +76,7 @@ def ordinal_pick(df: DataFrame, value: str, picks: dict[str, RankFn],
         keys = ["_g"]
 
     bucketed = keyed_counts.join(keyed_stats.select(*keys, "_bounds"), keys).select(
-        *keys, "_v", "_c", F.size(F.filter("_bounds", lambda b: b < F.col("_v"))).alias("_b"))
+        *keys, "_v", "_c", F.size(F.filter("_bounds", lambda b: b < F.col("_d"))).alias("_b"))
 
     w = Window.partitionBy(*keys).orderBy("_b")
     offsets = (bucketed.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
