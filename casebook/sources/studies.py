@@ -528,3 +528,13 @@ def with_views(views: dict[str, str], body: str) -> str:
     """Prefix ``body`` with the views as CTEs (DuckDB inlines unused ones away)."""
     ctes = ",\n".join(f"{name} AS ({sql})" for name, sql in views.items())
     return f"WITH {ctes}\n{body}"
+
+
+def resolve(spark, source, builder) -> SimpleNamespace:
+    """Study tables from ``source``: a driver-table folder (built with
+    ``builder``) or a namespace already holding the study's DataFrames
+    (e.g. the user's own tables, or test fixtures), copied shallowly."""
+    if isinstance(source, str):
+        from casebook.sources.tables import load
+        return builder(load(spark, source))
+    return SimpleNamespace(**vars(source))
