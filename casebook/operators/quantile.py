@@ -2,20 +2,20 @@
 
 ``row_number() over (order by v)`` (or ``partition by g`` with a few large
 groups) sorts every row of a group in one task. ``ordinal_pick`` returns the
-same value, the one at a given 1-based rank of the ascending order, in a
-fixed number of distributed steps:
-
-1. collapse equal values to (value, multiplicity): map-side combined, so a
-   value repeated a billion times costs one row; this table is checkpointed
-   (shared ``spark.checkpoint.dir``) because the next steps read it 3 times;
-2. cut each group's distinct values into ~``buckets`` ranges with
-   ``percentile_approx`` (a mergeable sketch, partial-aggregated);
-3. count rows per (group, bucket): at most groups x buckets rows; running
-   sums over that small table give each bucket's rank offset;
-4. only the buckets that hold a wanted rank are ranked exactly, each in its
-   own task (about n / buckets rows before collapsing ties).
-
-The approximation only decides bucket boundaries; the answer is exact.
+same value, the one at a given 1-based rank of the ascending order:
+
+1. collapse equal values to (group, value, multiplicity): map-side combined,
+   so a value repeated a billion times costs one row;
+2. ``repartitionByRange`` on (group, value): Spark's own sampled range
+   partitioner cuts the sorted order into ~equal chunks, so a hot group is
+   spread over many tasks; the chunked rows are checkpointed (shared
+   ``spark.checkpoint.dir``) because the next steps read them three times
+   and a second range exchange would sample other bounds;
+3. per (group, chunk) multiplicity totals, at most groups + partitions rows;
+   running sums over them give each chunk's rank offset;
+4. only the chunks that hold a wanted rank are ranked exactly, each in its
+   own task, by a running sum of multiplicities.
+
 Input values must be non-NULL.
 """
 
@@ -47,57 +47,43 @@ def _idiv(a: Column, b: int) -> Column:
 
 
 def ordinal_pick(df: DataFrame, value: str, picks: dict[str, RankFn],
-                 by: Sequence[str] = (), buckets: int = 256) -> DataFrame:
+                 by: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
     """For each group of ``by``: columns ``picks`` holding the value at rank
     ``picks[name](n)`` (n = rows in the group), or NULL when that rank is
     below 1 or above n."""
     by = list(by)
     names = list(picks)
-    fractions = [i / buckets for i in range(1, buckets)]
-
-    # (group, value, multiplicity), written once: every later step reads this
-    # copy instead of recomputing the input (often a join plus an aggregate)
-    checkpoint_dir(df.sparkSession)
-    counts = (df.groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-              .withColumn("_d", F.col("_v").cast("double"))
+    spark = df.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    checkpoint_dir(spark)
+
+    counts = df.groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    if not by:
+        counts = counts.withColumn("_g", F.lit(0))      # one group
+    keys = by or ["_g"]
+    ranged = (counts.repartitionByRange(n_parts, *keys, "_v")
+              .withColumn("_chunk", F.spark_partition_id())
               .checkpoint(eager=True))
-    # bucket bounds over the distinct values (what a bucket's window sorts);
-    # only monotonicity matters for the bounds, so they are taken on DOUBLE
-    stats = counts.groupBy(*by).agg(
-        F.sum("_c").alias("_n"),
-        F.percentile_approx("_d", fractions, 20 * buckets).alias("_bounds"))
-
-    if by:
-        keyed_counts, keyed_stats, keys = counts, stats, by
-    else:
-        # one group: the stats side is a single row, broadcast it
-        keyed_counts = counts.withColumn("_g", F.lit(0))
-        keyed_stats = F.broadcast(stats.withColumn("_g", F.lit(0)))
-        keys = ["_g"]
-
-    bucketed = keyed_counts.join(keyed_stats.select(*keys, "_bounds"), keys).select(
-        *keys, "_v", "_c", F.size(F.filter("_bounds", lambda b: b < F.col("_d"))).alias("_b"))
-
-    w = Window.partitionBy(*keys).orderBy("_b")
-    offsets = (bucketed.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
-               .withColumn("_end", F.sum("_bc").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-               .withColumn("_start", F.col("_end") - F.col("_bc")))
-
-    targets = keyed_stats.select(*keys, F.explode(F.array(*[
+
+    # chunk offsets within each group (rows: groups + chunks)
+    wc = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0)
+    chunks = (ranged.groupBy(*keys, "_chunk").agg(F.sum("_c").alias("_cc"))
+              .withColumn("_end", F.sum("_cc").over(wc))
+              .withColumn("_start", F.col("_end") - F.col("_cc")))
+    sizes = chunks.groupBy(*keys).agg(F.max("_end").alias("_n"))
+    targets = sizes.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(nm).alias("name"), picks[nm](F.col("_n")).alias("r")) for nm in names
     ])).alias("_t")).select(*keys, F.col("_t.name").alias("_name"), F.col("_t.r").alias("_r"))
-    located = targets.join(offsets, keys).where(
+    located = targets.join(chunks, keys).where(
         (F.col("_r") > F.col("_start")) & (F.col("_r") <= F.col("_end"))).select(
-        *keys, "_name", "_r", "_b", "_start")
+        *keys, "_name", "_r", "_chunk", "_start")
 
-    needed = located.select(*keys, "_b").distinct()
-    wb = Window.partitionBy(*keys, "_b").orderBy("_v")
-    ranked = (bucketed.join(needed, keys + ["_b"], "left_semi")
-              .withColumn("_cend", F.sum("_c").over(wb.rowsBetween(Window.unboundedPreceding, 0))))
-    hits = ranked.join(located, keys + ["_b"]).where(
+    # exact ranks inside the few chunks that hold a target
+    wv = Window.partitionBy(*keys, "_chunk").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (ranged.join(located.select(*keys, "_chunk").distinct(), keys + ["_chunk"], "left_semi")
+              .withColumn("_cend", F.sum("_c").over(wv)))
+    hits = ranked.join(located, keys + ["_chunk"]).where(
         (F.col("_r") > F.col("_start") + F.col("_cend") - F.col("_c"))
         & (F.col("_r") <= F.col("_start") + F.col("_cend")))
     picked = hits.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == nm, F.col("_v"))).alias(nm) for nm in names])
-
-    out = keyed_stats.select(*keys).join(picked, keys, "left")
-    return out.select(*by, *names)
+    return sizes.select(*keys).join(picked, keys, "left").select(*by, *names)

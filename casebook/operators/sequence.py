@@ -64,3 +64,26 @@ def neighbor(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str
     joined = inner.join(across, [*key, "_chunk"], "left")
     return joined.withColumn(out, F.when(F.col("_edge"), F.col("_across")).otherwise(F.col(out))).drop(
         "_chunk", "_edge", "_across")
+
+
+def running_total(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, out: str,
+                  partitions: int | None = None) -> DataFrame:
+    """Add ``out``: sum of ``value`` over the key's rows up to and including
+    this one in ``order`` (a ROWS frame), computed chunk by chunk like
+    ``neighbor``: a running sum inside each range chunk plus the totals of
+    the key's earlier chunks."""
+    key, order = list(key), list(order)
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    checkpoint_dir(spark)
+    ranged = (df.repartitionByRange(n, *key, *order)
+              .withColumn("_chunk", F.spark_partition_id())
+              .checkpoint(eager=True))
+    w = Window.partitionBy(*key, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.withColumn("_local", F.sum(value).over(w))
+    wc = Window.partitionBy(*key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy(*key, "_chunk").agg(F.sum(value).alias("_t"))
+               .select(*key, "_chunk", F.coalesce(F.sum("_t").over(wc), F.lit(0)).alias("_offset")))
+    return (local.join(offsets, [*key, "_chunk"])
+            .withColumn(out, F.col("_local") + F.col("_offset"))
+            .drop("_chunk", "_local", "_offset"))

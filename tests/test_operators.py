@@ -34,7 +34,7 @@ def test_ordinal_pick_matches_sorting(spark, seed):
     df = spark.createDataFrame(rows, "g int, v int, i int")
     picks = {"p25": rank_floor(25, 100), "p50": rank_floor(1, 2), "p95": rank_ceil(95, 100), "p0": rank_floor(0, 1)}
     got = {r["g"]: (r["p25"], r["p50"], r["p95"], r["p0"])
-           for r in ordinal_pick(df, "v", picks, by=["g"], buckets=16).collect()}
+           for r in ordinal_pick(df, "v", picks, by=["g"], partitions=16).collect()}
     pdf = pd.DataFrame(rows, columns=["g", "v", "i"])
     for g, part in pdf.groupby("g"):
         s = sorted(part["v"])
@@ -48,7 +48,7 @@ def test_ordinal_pick_matches_sorting(spark, seed):
 def test_ordinal_pick_single_group(spark):
     rows = [(v,) for v in [5] * 50 + list(range(100))]
     df = spark.createDataFrame(rows, "v int")
-    r = ordinal_pick(df, "v", {"a": rank_floor(1, 2), "b": rank_ceil(75, 100)}, buckets=8).first()
+    r = ordinal_pick(df, "v", {"a": rank_floor(1, 2), "b": rank_ceil(75, 100)}, partitions=8).first()
     s = sorted(x[0] for x in rows)
     assert (r["a"], r["b"]) == (s[len(s) // 2 - 1], s[-(-len(s) * 75 // 100) - 1])
 
@@ -141,3 +141,27 @@ def test_filters_and_columns_pushed_to_scan(spark):
     plan = se.queries()["ff_08"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz,o_orderpriority:string>" in plan
     assert "LessThan(o_orderdate,1998-01-01T00:00)" in plan   # date cut-off reaches the parquet scan
+
+
+def test_running_total_matches_cumsum(spark):
+    from casebook.operators.sequence import running_total
+    rnd = random.Random(11)
+    rows = [(0 if rnd.random() < 0.5 else rnd.randrange(1, 15), i, rnd.randrange(-5, 10)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "k int, t int, v int")
+    got = {(r["k"], r["t"]): r["s"] for r in running_total(df, ["k"], ["t"], "v", "s", partitions=6).collect()}
+    pdf = pd.DataFrame(rows, columns=["k", "t", "v"]).sort_values(["k", "t"])
+    pdf["s"] = pdf.groupby("k")["v"].cumsum()
+    assert all(got[(r.k, r.t)] == r.s for r in pdf.itertuples())
+
+
+def test_ff_11_counts_the_pairs(spark):
+    import duckdb
+
+    import __spark_entry__ as se
+    from tests.conftest import SMALL
+    got = sum(r["earlier_pro_monthly_rows"] for r in se.queries()["ff_11"](spark, SMALL).collect())
+    pairs = duckdb.sql(f"""
+        with s as (select o_custkey c, cast(substr(o_orderpriority, 1, 1) as int) - 1 p, cast(o_orderdate as date) d
+                   from '{SMALL}/orders.parquet' where o_orderdate < date '1998-01-01')
+        select count(*) from s a join s b on a.c = b.c and a.p = 2 and b.p = 1 and a.d < b.d""").fetchone()[0]
+    assert got == pairs
