@@ -163,5 +163,5 @@ def test_ff_11_counts_the_pairs(spark):
     pairs = duckdb.sql(f"""
         with s as (select o_custkey c, cast(substr(o_orderpriority, 1, 1) as int) - 1 p, cast(o_orderdate as date) d
                    from '{SMALL}/orders.parquet' where o_orderdate < date '1998-01-01')
-        select count(*) from s a join s b on a.c = b.c and a.p = 2 and b.p = 1 and a.d < b.d""").fetchone()[0]
+        select count(*) from s a join s b on a.c = b.c and a.p = 2 and b.p = 1 and a.d < b.d""").fetchall()[0][0]
     assert got == pairs
