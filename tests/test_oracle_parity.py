@@ -47,3 +47,16 @@ def test_matches_oracle(spark, con, qid):
     idx = [ocols.index(c) for c in cols]
     want = Counter(tuple(_norm(r[i]) for i in idx) for r in res.fetchall())
     assert got == want
+
+
+_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+         "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("qid", sorted(ORACLE))
+def test_column_types_match_oracle(spark, con, qid):
+    df = QUERIES[qid](spark, SMALL)
+    want = {d[0]: str(d[1]) for d in con.execute(ORACLE[qid]).description}
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        assert _DUCK.get(t, t.upper()) == want[f.name], f.name
