@@ -51,3 +51,34 @@ def days_to_state(log: DataFrame, target: int) -> DataFrame:
 def day_bin(days: Column, width: int) -> Column:
     """0-based bin index of a day count in bins of ``width`` days."""
     return int_div(days, F.lit(width))
+
+
+def payment_schedule(log: DataFrame, plans: DataFrame, period_start: dt.date, period_end: dt.date,
+                     monthly: Sequence[int], annual: Sequence[int], upgrade_from: int,
+                     upgrade_credit: Column) -> DataFrame:
+    """Payments dated in [period_start, period_end).
+
+    A monthly plan pays on its start day every month until the customer's
+    next plan starts; an annual plan pays once, at its start; the first
+    payment of a plan that follows ``upgrade_from`` is reduced by
+    ``upgrade_credit``; churn (no price) ends payments. Identical plan rows
+    (same customer, day and plan) are one subscription event.
+
+    Each plan row expands to 14 month offsets around the period, so the
+    output grows with rows x months of the period only."""
+    d = log.select(KEY, START, STATE).distinct()
+    d = neighbor(d, [KEY], ORDER, START, "_next_start", "next")
+    d = neighbor(d, [KEY], ORDER, STATE, "_prev_plan", "prev")
+    end = F.least(F.coalesce(F.col("_next_start"), F.lit(period_end)), F.lit(period_end))
+    # first month offset that can fall in the period (integer month arithmetic)
+    lag_months = ((F.lit(period_start.year) - F.year(START)) * 12 + F.lit(period_start.month) - F.month(START))
+    k0 = F.greatest(F.lit(0), lag_months - 1)
+    paid = d.where(F.col(STATE).isin(*monthly, *annual)).select(
+        "*", F.explode(F.sequence(k0, k0 + 13)).alias("_k"))
+    due = paid.withColumn("payment_date", F.add_months(F.col(START), F.col("_k"))).where(
+        (F.col("payment_date") < end) & (F.col("payment_date") >= F.lit(period_start))
+        & (F.col(STATE).isin(*monthly) | (F.col("_k") == 0)))
+    first_after_upgrade = (F.col("_k") == 0) & (F.col("_prev_plan") == upgrade_from)
+    amount = F.when(first_after_upgrade, F.col("price") - upgrade_credit).otherwise(F.col("price"))
+    return due.join(F.broadcast(plans), STATE).select(
+        KEY, STATE, "plan_name", "payment_date", amount.cast("decimal(6,2)").alias("amount"))
