@@ -12,7 +12,6 @@ How the driver tables are mapped is documented in README.md.
 from __future__ import annotations
 
 import datetime as dt
-from types import SimpleNamespace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,18 +36,51 @@ def _lookup(df: DataFrame, key: str, cols: list[str], alias_key: str | None = No
     return df.groupBy(F.col(key).alias(alias_key or key)).agg(*[F.max(c).alias(c) for c in cols])
 
 
+class LazyViews:
+    """Namespace of study views built on first access.
+
+    A query touches one or two of its study's views; building the others
+    would still cost plan analysis, parquet footer reads and, for views
+    that checkpoint, a job. Each view is a thunk run once when read."""
+
+    def __init__(self, **thunks):
+        self.__dict__["_thunks"] = dict(thunks)
+
+    def __getattr__(self, name):
+        thunks = self.__dict__["_thunks"]
+        if name not in thunks:
+            raise AttributeError(name)
+        value = thunks[name]()
+        self.__dict__[name] = value
+        return value
+
+    def define(self, name: str, thunk) -> None:
+        """Add (or replace) a view built from others on first access."""
+        self.__dict__.pop(name, None)
+        self.__dict__["_thunks"][name] = thunk
+
+    def copy(self) -> "LazyViews":
+        new = LazyViews(**self.__dict__["_thunks"])
+        new.__dict__.update({k: v for k, v in self.__dict__.items() if k != "_thunks"})
+        return new
+
+
 # --------------------------------------------------------------------------
 # Retail: sales (txn_id, prod_id, qty, price, discount, member),
 #         product_details (product_id, product_name, segment_name, category_name)
 # --------------------------------------------------------------------------
 
-def retail(t: Tables) -> SimpleNamespace:
+def retail(t: Tables) -> LazyViews:
+    return LazyViews(sales_raw=lambda: _retail_sales(t), product_details=lambda: _retail_products(t))
+
+
+def _retail_sales(t: Tables) -> DataFrame:
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")
     o = _lookup(t.orders, "o_orderkey", ["o_orderstatus"], "l_orderkey")
     qty = F.col("l_quantity").cast("int")
     line_cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     unit_cents = int_div(line_cents, qty.cast("bigint"))
-    sales = li.join(o, "l_orderkey", "left").select(
+    return li.join(o, "l_orderkey", "left").select(
         F.col("l_orderkey").alias("txn_id"),
         F.col("l_partkey").alias("prod_id"),
         qty.alias("qty"),
@@ -56,13 +88,15 @@ def retail(t: Tables) -> SimpleNamespace:
         F.round(F.col("l_discount") * 100).cast("int").alias("discount"),
         F.when(F.col("o_orderstatus") == "F", "t").when(F.col("o_orderstatus") == "O", "f").alias("member"),
     )
-    product_details = t.part.select(
+
+
+def _retail_products(t: Tables) -> DataFrame:
+    return t.part.select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("segment_name"),
         F.col("p_brand").alias("category_name"),
     )
-    return SimpleNamespace(sales_raw=sales, product_details=product_details)
 
 
 RETAIL_SQL = {
@@ -92,26 +126,28 @@ RETAIL_SQL = {
 #        product_name, price), members (customer_id, join_date)
 # --------------------------------------------------------------------------
 
-def diner(t: Tables) -> SimpleNamespace:
-    o = t.orders
-    sales = t.lineitem.select("l_orderkey", "l_partkey").join(
-        o.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"), "l_orderkey"
-    ).select(
-        F.col("o_custkey").alias("customer_id"),
-        _date("o_orderdate").alias("order_date"),
-        F.col("l_partkey").alias("product_id"),
-    )
-    menu = t.part.select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_retailprice").cast(MONEY).alias("price"),
-    )
-    members = (
-        o.filter(F.col("o_orderpriority") == "1-URGENT")
-        .groupBy(F.col("o_custkey").alias("customer_id"))
-        .agg(F.min(_date("o_orderdate")).alias("join_date"))
-    )
-    return SimpleNamespace(sales=sales, menu=menu, members=members)
+def diner(t: Tables) -> LazyViews:
+    def sales():
+        return t.lineitem.select("l_orderkey", "l_partkey").join(
+            t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"), "l_orderkey"
+        ).select(
+            F.col("o_custkey").alias("customer_id"),
+            _date("o_orderdate").alias("order_date"),
+            F.col("l_partkey").alias("product_id"),
+        )
+
+    def menu():
+        return t.part.select(
+            F.col("p_partkey").alias("product_id"),
+            F.col("p_name").alias("product_name"),
+            F.col("p_retailprice").cast(MONEY).alias("price"),
+        )
+
+    def members():
+        return (t.orders.filter(F.col("o_orderpriority") == "1-URGENT")
+                .groupBy(F.col("o_custkey").alias("customer_id"))
+                .agg(F.min(_date("o_orderdate")).alias("join_date")))
+    return LazyViews(sales=sales, menu=menu, members=members)
 
 
 DINER_SQL = {
@@ -139,9 +175,12 @@ def _order_minute(k):
     return (k * 37) % 1440
 
 
-def delivery(t: Tables) -> SimpleNamespace:
-    li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_tax", "l_discount")
-    o = _lookup(t.orders, "o_orderkey", ["o_custkey", "o_orderdate"], "l_orderkey")
+def delivery(t: Tables) -> LazyViews:
+    def li():
+        return t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_tax", "l_discount")
+
+    def o():
+        return _lookup(t.orders, "o_orderkey", ["o_custkey", "o_orderdate"], "l_orderkey")
     tax = F.round(F.col("l_tax") * 100).cast("int")
     disc = F.round(F.col("l_discount") * 100).cast("int")
     t1 = ((F.col("l_suppkey") % 25) + 1).cast("string")
@@ -160,14 +199,14 @@ def delivery(t: Tables) -> SimpleNamespace:
         .when(disc.isin(6, 7), t3)
         .when(disc == 8, F.concat(t3, F.lit(", "), t4))
     )
-    k = F.col("l_orderkey")
-    customer_orders = li.join(o, "l_orderkey", "left").select(
+    lk = F.col("l_orderkey")
+    customer_orders = lambda: li().join(o(), "l_orderkey", "left").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("pizza_id"),
         exclusions.alias("exclusions"),
         extras.alias("extras"),
-        F.timestamp_add("MINUTE", _order_minute(k), F.col("o_orderdate")).alias("order_time"),
+        F.timestamp_add("MINUTE", _order_minute(lk), F.col("o_orderdate")).alias("order_time"),
     )
 
     k = F.col("o_orderkey")
@@ -180,7 +219,7 @@ def delivery(t: Tables) -> SimpleNamespace:
     du = int_div(k, F.lit(3)) % 5
     min_unit = (F.when(du == 0, F.lit("minutes")).when(du == 1, F.lit(" minutes"))
                 .when(du == 2, F.lit("mins")).when(du == 3, F.lit(" minute")).otherwise(F.lit("")))
-    runner_orders = t.orders.select(
+    runner_orders = lambda: t.orders.select(
         F.col("o_orderkey").alias("order_id"),
         ((F.col("o_custkey") % 4) + 1).cast("int").alias("runner_id"),
         F.when(cancelled, F.lit("null")).otherwise(
@@ -192,19 +231,20 @@ def delivery(t: Tables) -> SimpleNamespace:
                .otherwise(F.lit("Customer Cancellation")))
         .when(k % 3 == 1, F.lit("")).when(k % 3 == 2, F.lit("null")).alias("cancellation"),
     )
-    pizza_names = t.part.select(F.col("p_partkey").alias("pizza_id"), F.col("p_name").alias("pizza_name"))
+    pizza_names = lambda: t.part.select(
+        F.col("p_partkey").alias("pizza_id"), F.col("p_name").alias("pizza_name"))
     n_top = (F.col("p_size") % 6) + 2
     toppings = F.array_join(
         F.transform(F.sequence(F.lit(0), n_top - 1),
                     lambda i: (((F.col("p_partkey") + i * 7) % 25) + 1).cast("string")),
         ", ")
-    pizza_recipes = t.part.select(F.col("p_partkey").alias("pizza_id"), toppings.alias("toppings"))
-    pizza_toppings = t.nation.select(
+    pizza_recipes = lambda: t.part.select(
+        F.col("p_partkey").alias("pizza_id"), toppings.alias("toppings"))
+    pizza_toppings = lambda: t.nation.select(
         (F.col("n_nationkey") + 1).cast("int").alias("topping_id"),
         F.col("n_name").alias("topping_name"))
-    return SimpleNamespace(customer_orders_raw=customer_orders, runner_orders_raw=runner_orders,
-                           pizza_names=pizza_names, pizza_recipes=pizza_recipes,
-                           pizza_toppings=pizza_toppings)
+    return LazyViews(customer_orders_raw=customer_orders, runner_orders_raw=runner_orders,
+                     pizza_names=pizza_names, pizza_recipes=pizza_recipes, pizza_toppings=pizza_toppings)
 
 
 DELIVERY_SQL = {
@@ -313,18 +353,22 @@ def _plan_case(key: str, value_idx: int, cast: str | None = None) -> F.Column:
     return out
 
 
-def subscriptions(t: Tables) -> SimpleNamespace:
-    subs = t.orders.select(
-        F.col("o_custkey").alias("customer_id"),
-        (F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("plan_id"),
-        _date("o_orderdate").alias("start_date"),
-    )
-    plans = subs.select("plan_id").distinct().select(
-        "plan_id",
-        _plan_case("plan_id", 1).alias("plan_name"),
-        _plan_case("plan_id", 2, "decimal(5,2)").alias("price"),
-    )
-    return SimpleNamespace(subscriptions=subs, plans=plans)
+def subscriptions(t: Tables) -> LazyViews:
+    def subs():
+        return t.orders.select(
+            F.col("o_custkey").alias("customer_id"),
+            (F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("plan_id"),
+            _date("o_orderdate").alias("start_date"),
+        )
+
+    def plans():
+        return v.subscriptions.select("plan_id").distinct().select(
+            "plan_id",
+            _plan_case("plan_id", 1).alias("plan_name"),
+            _plan_case("plan_id", 2, "decimal(5,2)").alias("price"),
+        )
+    v = LazyViews(subscriptions=subs, plans=plans)
+    return v
 
 
 def _plan_sql(idx: int, cast: str | None = None) -> str:
@@ -353,8 +397,14 @@ SUBSCRIPTIONS_SQL = {
 # Bank: regions, customer_nodes, customer_transactions
 # --------------------------------------------------------------------------
 
-def bank(t: Tables) -> SimpleNamespace:
-    regions = t.region.select(F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region_name"))
+def bank(t: Tables) -> LazyViews:
+    return LazyViews(
+        regions=lambda: t.region.select(F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region_name")),
+        customer_nodes=lambda: _bank_nodes(t),
+        customer_transactions=lambda: _bank_transactions(t))
+
+
+def _bank_nodes(t: Tables) -> DataFrame:
     cust_region = _lookup(
         t.customer.select("c_custkey", "c_nationkey").join(
             t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"), "c_nationkey"),
@@ -367,11 +417,14 @@ def bank(t: Tables) -> SimpleNamespace:
     )
     # a node allocation ends where the customer's next one starts (open end:
     # sentinel); the region is looked up afterwards, and only if used
-    nodes = (neighbor(spans, ["customer_id"], ["start_date", "o_orderkey"], "start_date", "end_date", "next")
-             .withColumn("end_date", F.coalesce(F.col("end_date"), F.lit(OPEN_END)))
-             .join(cust_region, "customer_id", "left")
-             .select("customer_id", F.col("n_regionkey").alias("region_id"), "node_id", "start_date", "end_date"))
-    txns = t.orders.select(
+    return (neighbor(spans, ["customer_id"], ["start_date", "o_orderkey"], "start_date", "end_date", "next")
+            .withColumn("end_date", F.coalesce(F.col("end_date"), F.lit(OPEN_END)))
+            .join(cust_region, "customer_id", "left")
+            .select("customer_id", F.col("n_regionkey").alias("region_id"), "node_id", "start_date", "end_date"))
+
+
+def _bank_transactions(t: Tables) -> DataFrame:
+    return t.orders.select(
         F.col("o_custkey").alias("customer_id"),
         _date("o_orderdate").alias("txn_date"),
         F.when(F.col("o_orderstatus") == "F", "deposit")
@@ -379,7 +432,6 @@ def bank(t: Tables) -> SimpleNamespace:
         .when(F.col("o_orderstatus") == "P", "withdrawal").alias("txn_type"),
         F.col("o_totalprice").cast(MONEY).alias("txn_amount"),
     )
-    return SimpleNamespace(regions=regions, customer_nodes=nodes, customer_transactions=txns)
 
 
 BANK_SQL = {
@@ -408,7 +460,11 @@ BANK_SQL = {
 #              segment, customer_type, transactions, sales)
 # --------------------------------------------------------------------------
 
-def mart(t: Tables) -> SimpleNamespace:
+def mart(t: Tables) -> LazyViews:
+    return LazyViews(weekly_sales_raw=lambda: _mart_weekly(t))
+
+
+def _mart_weekly(t: Tables) -> DataFrame:
     cust = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
     geo = t.nation.select("n_nationkey", "n_regionkey").join(
         t.region.select(F.col("r_regionkey").alias("n_regionkey"), "r_name"), "n_regionkey")
@@ -431,13 +487,12 @@ def mart(t: Tables) -> SimpleNamespace:
             F.col("o_totalprice").cast(MONEY).alias("amount"),
         )
     )
-    weekly = (
+    return (
         rows.groupBy("week", "region", "platform", "segment", "customer_type")
         .agg(F.count(F.lit(1)).alias("transactions"), F.sum("amount").cast(TOTAL).alias("sales"))
         .select(F.date_format("week", "d/M/yyyy").alias("week_date"),
                 "region", "platform", "segment", "customer_type", "transactions", "sales")
     )
-    return SimpleNamespace(weekly_sales_raw=weekly)
 
 
 MART_SQL = {
@@ -478,11 +533,23 @@ CAMPAIGNS = [
 ]
 
 
-def funnel(t: Tables) -> SimpleNamespace:
+def funnel(t: Tables) -> LazyViews:
+    v = LazyViews(
+        _events_u=lambda: _funnel_events(t),
+        events=lambda: v._events_u.drop("user_id"),
+        users=lambda: v._events_u.select("user_id", "cookie_id").distinct(),
+        page_hierarchy=lambda: _page_hierarchy(v.events),
+        campaign_identifier=lambda: t.spark.createDataFrame(
+            CAMPAIGNS, "campaign_name string, start_date timestamp_ntz, end_date timestamp_ntz"),
+    )
+    return v
+
+
+def _funnel_events(t: Tables) -> DataFrame:
     et = None
     for name, code in EVENT_CODES.items():
         et = (F.when if et is None else et.when)(F.col("event_type") == name, F.lit(code))
-    events = t.events.select(
+    return t.events.select(
         F.concat(F.col("user_id").cast("string"), F.lit("-"), F.col("ts").cast("date").cast("string")).alias("visit_id"),
         (F.col("user_id") * 10 + F.dayofmonth("ts") % 3).alias("cookie_id"),
         ((F.get_json_object("props", "$.k").cast("int") % N_PAGES) + 1).alias("page_id"),
@@ -491,20 +558,16 @@ def funnel(t: Tables) -> SimpleNamespace:
         F.col("ts").alias("event_time"),
         "user_id",
     )
-    users = events.select("user_id", "cookie_id").distinct()
-    events = events.drop("user_id")
+
+
+def _page_hierarchy(events: DataFrame) -> DataFrame:
     is_product = F.col("page_id").between(3, 11)
-    page_hierarchy = events.select("page_id").distinct().select(
+    return events.select("page_id").distinct().select(
         "page_id",
         F.when(is_product, F.concat(F.lit("group_"), (int_div(F.col("page_id") - 3, F.lit(3)) + 1).cast("string")))
         .alias("product_category"),
         F.when(is_product, F.col("page_id") - 2).alias("product_id"),
     )
-    spark = t.spark
-    campaigns = spark.createDataFrame(
-        CAMPAIGNS, "campaign_name string, start_date timestamp_ntz, end_date timestamp_ntz")
-    return SimpleNamespace(events=events, users=users, page_hierarchy=page_hierarchy,
-                           campaign_identifier=campaigns)
 
 
 def _campaign_values() -> str:
@@ -541,11 +604,13 @@ def with_views(views: dict[str, str], body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
-def resolve(spark, source, builder) -> SimpleNamespace:
+def resolve(spark, source, builder) -> LazyViews:
     """Study tables from ``source``: a driver-table folder (built with
     ``builder``) or a namespace already holding the study's DataFrames
     (e.g. the user's own tables, or test fixtures), copied shallowly."""
     if isinstance(source, str):
         from casebook.sources.tables import load
         return builder(load(spark, source))
-    return SimpleNamespace(**vars(source))
+    if isinstance(source, LazyViews):
+        return source.copy()
+    return LazyViews(**{k: (lambda v=v: v) for k, v in vars(source).items()})

@@ -11,12 +11,14 @@ TABLES = (
 )
 
 
-class Tables(dict):
-    """``dict`` of DataFrames that reads each parquet file on first access.
+# (session, folder, table) -> DataFrame. A DataFrame is an immutable plan, so
+# queries of one session share it and list files / read footers once; set
+# ``casebook.reuse_tables=false`` on the session to re-read every time.
+_READ_CACHE: dict[tuple[int, str, str], DataFrame] = {}
+
 
-    Reading is lazy in Spark anyway; the cache only avoids repeating schema
-    discovery for a table used several times in one query.
-    """
+class Tables(dict):
+    """``dict`` of DataFrames that reads each parquet file on first access."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
@@ -26,7 +28,14 @@ class Tables(dict):
     def __missing__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise KeyError(name)
-        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        reuse = self.spark.conf.get("casebook.reuse_tables", "true") == "true"
+        key = (id(self.spark), self.sf_dir, name)
+        df = _READ_CACHE.get(key) if reuse else None
+        if df is None:
+            df = self.spark.read.parquet(path)
+            if reuse:
+                _READ_CACHE[key] = df
         self[name] = df
         return df
 
