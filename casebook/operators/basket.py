@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.session import checkpoint_dir
+from casebook.session import checkpoint_dir, checkpoint_once
 
 
 def _pairs(pt: DataFrame) -> DataFrame:
@@ -45,8 +45,8 @@ def triple_counts(items: DataFrame, basket: str, item: str, k: int = 1,
     everything tied with them are always included."""
     # distinct (basket, item), written once: the steps below read it five times
     checkpoint_dir(items.sparkSession)
-    pt = (items.select(F.col(basket).alias("basket"), F.col(item).alias("item")).distinct()
-          .checkpoint(eager=True))
+    distinct = items.select(F.col(basket).alias("basket"), F.col(item).alias("item")).distinct()
+    pt = checkpoint_once(distinct, ("basket",), lambda: distinct.checkpoint(eager=True))
     support = pt.groupBy("item").agg(F.count(F.lit(1)).alias("s"))
 
     seed = support.orderBy(F.desc("s"), F.asc("item")).limit(seed_items).select("item")

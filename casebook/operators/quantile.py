@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from casebook.session import checkpoint_dir
+from casebook.session import checkpoint_dir, checkpoint_once
 
 RankFn = Callable[[Column], Column]
 
@@ -61,9 +61,10 @@ def ordinal_pick(df: DataFrame, value: str, picks: dict[str, RankFn],
     if not by:
         counts = counts.withColumn("_g", F.lit(0))      # one group
     keys = by or ["_g"]
-    ranged = (counts.repartitionByRange(n_parts, *keys, "_v")
-              .withColumn("_chunk", F.spark_partition_id())
-              .checkpoint(eager=True))
+    ranged = checkpoint_once(counts, ("ordinal", tuple(keys), n_parts), lambda: (
+        counts.repartitionByRange(n_parts, *keys, "_v")
+        .withColumn("_chunk", F.spark_partition_id())
+        .checkpoint(eager=True)))
 
     # chunk offsets within each group (rows: groups + chunks)
     wc = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0)

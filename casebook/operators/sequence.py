@@ -30,7 +30,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from casebook.session import checkpoint_dir
+from casebook.session import checkpoint_dir, checkpoint_once
+
+
+def _chunks(df: DataFrame, key: list[str], order: list[str], n: int) -> DataFrame:
+    """``df`` range-partitioned on (key, order) with its partition id as
+    ``_chunk``, checkpointed once per session and input plan."""
+    def build():
+        checkpoint_dir(df.sparkSession)
+        return (df.repartitionByRange(n, *key, *order)
+                .withColumn("_chunk", F.spark_partition_id())
+                .checkpoint(eager=True))
+    return checkpoint_once(df, ("chunks", tuple(key), tuple(order), n), build)
 
 
 def neighbor(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, out: str,
@@ -42,10 +53,7 @@ def neighbor(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str
         raise ValueError(direction)
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    checkpoint_dir(spark)
-    ranged = (df.repartitionByRange(n, *key, *order)
-              .withColumn("_chunk", F.spark_partition_id())
-              .checkpoint(eager=True))
+    ranged = _chunks(df, key, order, n)
 
     w = Window.partitionBy(*key, "_chunk").orderBy(*order)
     step = F.lead if direction == "next" else F.lag
@@ -75,10 +83,7 @@ def running_total(df: DataFrame, key: Sequence[str], order: Sequence[str], value
     key, order = list(key), list(order)
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    checkpoint_dir(spark)
-    ranged = (df.repartitionByRange(n, *key, *order)
-              .withColumn("_chunk", F.spark_partition_id())
-              .checkpoint(eager=True))
+    ranged = _chunks(df, key, order, n)
     w = Window.partitionBy(*key, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_local", F.sum(value).over(w))
     wc = Window.partitionBy(*key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
