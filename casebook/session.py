@@ -34,7 +34,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("CASEBOOK_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001 - Spark Connect client
+        pass
     checkpoint_dir(spark)
     return spark
 
@@ -50,7 +53,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="casebook-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # noqa: BLE001 - a Spark Connect client has no SparkContext;
+        pass           # its server takes the folder from spark.checkpoint.dir
     return d
 
 

@@ -7,6 +7,7 @@ import random
 from collections import Counter
 
 import pandas as pd
+from pyspark.sql import functions as F
 import pytest
 
 from casebook.functions.clean import week_from_jan1, week_mode0
@@ -165,3 +166,16 @@ def test_ff_11_counts_the_pairs(spark):
                    from '{SMALL}/orders.parquet' where o_orderdate < date '1998-01-01')
         select count(*) from s a join s b on a.c = b.c and a.p = 2 and b.p = 1 and a.d < b.d""").fetchall()[0][0]
     assert got == pairs
+
+
+def test_inspect_helpers(spark):
+    from casebook.operators.inspect import describe, preview, register_views, update
+    dn = fixtures.diner(spark)
+    assert [r["col_name"] for r in describe(dn.sales).collect()] == ["customer_id", "order_date", "product_id"]
+    assert [tuple(r) for r in preview(dn.menu, 2, ["price"]).collect()] == [(1, "sushi", 10), (3, "ramen", 12)]
+    register_views(spark, dn, ["sales", "menu", "members"], prefix="dn_fixture_")
+    got = dict(spark.sql("select s.customer_id, sum(m.price) from dn_fixture_sales s join dn_fixture_menu m "
+                         "on s.product_id = m.product_id group by s.customer_id").collect())
+    assert got == {"A": 76, "B": 74, "C": 36}
+    u = update(dn.menu, "price", F.col("price") * 2, F.col("product_name") == "sushi")
+    assert sorted(r["price"] for r in u.collect()) == [12, 15, 20]
