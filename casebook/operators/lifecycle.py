@@ -80,5 +80,5 @@ def payment_schedule(log: DataFrame, plans: DataFrame, period_start: dt.date, pe
         & (F.col(STATE).isin(*monthly) | (F.col("_k") == 0)))
     first_after_upgrade = (F.col("_k") == 0) & (F.col("_prev_plan") == upgrade_from)
     amount = F.when(first_after_upgrade, F.col("price") - upgrade_credit).otherwise(F.col("price"))
-    return due.join(F.broadcast(plans), STATE).select(
+    return due.join(plans, STATE).select(
         KEY, STATE, "plan_name", "payment_date", amount.cast("decimal(6,2)").alias("amount"))

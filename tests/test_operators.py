@@ -179,3 +179,14 @@ def test_inspect_helpers(spark):
     assert got == {"A": 76, "B": 74, "C": 36}
     u = update(dn.menu, "price", F.col("price") * 2, F.col("product_name") == "sushi")
     assert sorted(r["price"] for r in u.collect()) == [12, 15, 20]
+
+
+def test_campaign_join_both_strategies(spark):
+    import __spark_entry__ as se
+    from casebook.operators.funnel import attach_campaign
+    from casebook.plans import funnel
+    v = funnel.views(spark, "/root/testdata/sf0.001")
+    base = se.queries()["cb_13_intended"](spark, "/root/testdata/sf0.001").drop("campaign_name")
+    small = attach_campaign(base, v.campaign_identifier, "left")
+    keyed = attach_campaign(base, v.campaign_identifier, "left", max_broadcast_rows=0)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, keyed.collect()))
