@@ -42,6 +42,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def session_key(spark: SparkSession) -> str:
+    """A key that identifies the session (not just the Python object, whose
+    id can be reused after a session is stopped and another created)."""
+    for get in (lambda: spark._jsparkSession.sessionUUID(), lambda: spark.session_id):
+        try:
+            return str(get())
+        except Exception:  # noqa: BLE001 - classic vs Connect sessions
+            continue
+    return str(id(spark))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -63,14 +74,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 # Reliable checkpoints already written in this session, so that queries of
 # one session that derive the same intermediate result (e.g. several bank
 # queries over the node allocations) write it once.
-_CHECKPOINTS: list[tuple[int, object, tuple, object]] = []
+_CHECKPOINTS: list[tuple[str, object, tuple, object]] = []
 
 
 def checkpoint_once(df, params: tuple, build):
     """``build()`` (which returns a checkpointed DataFrame derived from ``df``)
     once per session for each (``df`` plan, ``params``); later calls with a
     semantically equal input plan get the same checkpoint back."""
-    sid = id(df.sparkSession)
+    sid = session_key(df.sparkSession)
     for s, d, p, r in _CHECKPOINTS:
         if s == sid and p == params and d.sameSemantics(df):
             return r

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from casebook.session import session_key
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -14,7 +16,7 @@ TABLES = (
 # (session, folder, table) -> DataFrame. A DataFrame is an immutable plan, so
 # queries of one session share it and list files / read footers once; set
 # ``casebook.reuse_tables=false`` on the session to re-read every time.
-_READ_CACHE: dict[tuple[int, str, str], DataFrame] = {}
+_READ_CACHE: dict[tuple[str, str, str], DataFrame] = {}
 
 
 class Tables(dict):
@@ -30,7 +32,7 @@ class Tables(dict):
             raise KeyError(name)
         path = f"{self.sf_dir}/{name}.parquet"
         reuse = self.spark.conf.get("casebook.reuse_tables", "true") == "true"
-        key = (id(self.spark), self.sf_dir, name)
+        key = (session_key(self.spark), self.sf_dir, name)
         df = _READ_CACHE.get(key) if reuse else None
         if df is None:
             df = self.spark.read.parquet(path)
