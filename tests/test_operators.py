@@ -190,3 +190,16 @@ def test_campaign_join_both_strategies(spark):
     small = attach_campaign(base, v.campaign_identifier, "left")
     keyed = attach_campaign(base, v.campaign_identifier, "left", max_broadcast_rows=0)
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, keyed.collect()))
+
+
+def test_chunked_operators_with_a_single_key(spark):
+    from casebook.operators.sequence import running_total
+    rows = [(1, i, i % 7) for i in range(500)]
+    df = spark.createDataFrame(rows, "k int, t int, v int")
+    nxt = {r["t"]: r["nv"] for r in neighbor(df, ["k"], ["t"], "v", "nv", "next", partitions=9).collect()}
+    assert all(nxt[i] == (i + 1) % 7 for i in range(499)) and nxt[499] is None
+    run = {r["t"]: r["s"] for r in running_total(df, ["k"], ["t"], "v", "s", partitions=9).collect()}
+    assert run[499] == sum(i % 7 for i in range(500))
+    same = spark.createDataFrame([(3,)] * 200, "v int")
+    r = ordinal_pick(same, "v", {"m": rank_floor(1, 2)}, partitions=9).first()
+    assert r["m"] == 3
