@@ -83,7 +83,7 @@ def checkpoint_once(df, params: tuple, build):
     semantically equal input plan get the same checkpoint back."""
     sid = session_key(df.sparkSession)
     for s, d, p, r in _CHECKPOINTS:
-        if s == sid and p == params and d.sameSemantics(df):
+        if s == sid and p == params and d.columns == df.columns and d.sameSemantics(df):
             return r
     r = build()
     _CHECKPOINTS.append((sid, df, params, r))
