@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from casebook.functions.numeric import int_div
 from casebook.operators.rank import first_per
-from casebook.operators.sequence import neighbor
+from casebook.operators.sequence import neighbor, neighbors
 
 KEY, STATE, START = "customer_id", "plan_id", "start_date"
 ORDER = [START, STATE]          # ties on the date are broken by the plan id
@@ -66,9 +66,9 @@ def payment_schedule(log: DataFrame, plans: DataFrame, period_start: dt.date, pe
 
     Each plan row expands to 14 month offsets around the period, so the
     output grows with rows x months of the period only."""
-    d = log.select(KEY, START, STATE).distinct()
-    d = neighbor(d, [KEY], ORDER, START, "_next_start", "next")
-    d = neighbor(d, [KEY], ORDER, STATE, "_prev_plan", "prev")
+    d = log.select(KEY, START, STATE).distinct().withColumn("_s", F.struct(START, STATE))
+    d = (neighbors(d, [KEY], ORDER, "_s", next_out="_nx", prev_out="_pv")
+         .withColumn("_next_start", F.col(f"_nx.{START}")).withColumn("_prev_plan", F.col(f"_pv.{STATE}")))
     end = F.least(F.coalesce(F.col("_next_start"), F.lit(period_end)), F.lit(period_end))
     # first month offset that can fall in the period (integer month arithmetic)
     lag_months = ((F.lit(period_start.year) - F.year(START)) * 12 + F.lit(period_start.month) - F.month(START))

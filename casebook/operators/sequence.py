@@ -48,30 +48,40 @@ def neighbor(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str
              direction: str = "next", partitions: int | None = None) -> DataFrame:
     """Add ``out``: ``value`` of the next (``direction='next'``, lead) or
     previous (``'prev'``, lag) row of the same key in ``order``."""
-    key, order = list(key), list(order)
     if direction not in ("next", "prev"):
         raise ValueError(direction)
+    outs = {"next_out": out} if direction == "next" else {"prev_out": out}
+    return neighbors(df, key, order, value, partitions=partitions, **outs)
+
+
+def neighbors(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str,
+              next_out: str | None = None, prev_out: str | None = None,
+              partitions: int | None = None) -> DataFrame:
+    """Add ``next_out`` (lead) and/or ``prev_out`` (lag) of ``value`` in one
+    pass over one set of range chunks."""
+    key, order = list(key), list(order)
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = _chunks(df, key, order, n)
-
     w = Window.partitionBy(*key, "_chunk").orderBy(*order)
-    step = F.lead if direction == "next" else F.lag
-    edge = step(F.lit(True)).over(w).isNull()           # last (first) row of its chunk
-    inner = ranged.withColumn(out, step(F.col(value)).over(w)).withColumn("_edge", edge)
+    wc = Window.partitionBy(*key).orderBy("_chunk")
 
     # one summary row per (key, chunk): its first and last row's value
     st = F.struct(*[F.col(c) for c in order], F.col(value).alias("_v"))
     chunks = ranged.groupBy(*key, "_chunk").agg(F.min(st).alias("_lo"), F.max(st).alias("_hi"))
-    wc = Window.partitionBy(*key).orderBy("_chunk")
-    if direction == "next":
-        across = chunks.select(*key, "_chunk", F.lead("_lo._v").over(wc).alias("_across"))
-    else:
-        across = chunks.select(*key, "_chunk", F.lag("_hi._v").over(wc).alias("_across"))
-
-    joined = inner.join(across, [*key, "_chunk"], "left")
-    return joined.withColumn(out, F.when(F.col("_edge"), F.col("_across")).otherwise(F.col(out))).drop(
-        "_chunk", "_edge", "_across")
+    across, inner, fixes = [], ranged, []
+    for out, step, edge_of, neighbour_chunk in (
+            (next_out, F.lead, "_last", F.lead("_lo._v")), (prev_out, F.lag, "_first", F.lag("_hi._v"))):
+        if out is None:
+            continue
+        inner = (inner.withColumn(out, step(F.col(value)).over(w))
+                 .withColumn(edge_of, step(F.lit(True)).over(w).isNull()))     # chunk edge row
+        across.append(neighbour_chunk.over(wc).alias(f"_x{out}"))
+        fixes.append((out, edge_of))
+    joined = inner.join(chunks.select(*key, "_chunk", *across), [*key, "_chunk"], "left")
+    for out, edge_of in fixes:
+        joined = joined.withColumn(out, F.when(F.col(edge_of), F.col(f"_x{out}")).otherwise(F.col(out)))
+    return joined.drop("_chunk", *[e for _, e in fixes], *[f"_x{o}" for o, _ in fixes])
 
 
 def running_total(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, out: str,

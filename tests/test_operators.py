@@ -203,3 +203,17 @@ def test_chunked_operators_with_a_single_key(spark):
     same = spark.createDataFrame([(3,)] * 200, "v int")
     r = ordinal_pick(same, "v", {"m": rank_floor(1, 2)}, partitions=9).first()
     assert r["m"] == 3
+
+
+def test_neighbors_both_directions_in_one_pass(spark):
+    from casebook.operators.sequence import neighbors
+    rnd = random.Random(13)
+    rows = [(0 if rnd.random() < 0.5 else rnd.randrange(1, 9), i, rnd.randrange(50)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "k int, t int, v int")
+    got = {(r["k"], r["t"]): (r["n"], r["p"])
+           for r in neighbors(df, ["k"], ["t"], "v", next_out="n", prev_out="p", partitions=5).collect()}
+    pdf = pd.DataFrame(rows, columns=["k", "t", "v"]).sort_values(["k", "t"])
+    pdf["n"] = pdf.groupby("k")["v"].shift(-1)
+    pdf["p"] = pdf.groupby("k")["v"].shift(1)
+    for r in pdf.itertuples():
+        assert got[(r.k, r.t)] == (None if pd.isna(r.n) else int(r.n), None if pd.isna(r.p) else int(r.p))
