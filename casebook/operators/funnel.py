@@ -86,3 +86,21 @@ def attach_campaign(visits: DataFrame, campaigns: DataFrame, how: str = "inner",
     keyed = visits.withColumn("_day", F.to_date("visit_start_time"))
     return (keyed.join(days, (keyed["_day"] == days["_day"]) & cond, how)
             .drop("_day", "start_date", "end_date"))
+
+
+def product_funnel_by_visit_purchase(events: DataFrame, key: str, not_purchased_name: str) -> DataFrame:
+    """Intended reading of the funnel: a product (or category) counts as
+    bought in a visit when it was added to the cart in a visit that has any
+    purchase event (purchases fire on a confirmation page, not on the
+    product's own page). Keys are products only (no NULL key)."""
+    et = F.col("event_type")
+    bought_visit = visit_flags(events, {"vp": et == PURCHASE})
+    per = visit_flags(events.where(F.col(key).isNotNull()),
+                      {"v": et == VIEW, "a": et == CART_ADD}, by=(key,))
+    f = per.join(bought_visit, "visit_id")
+    bought = F.col("a") & F.col("vp")
+    return f.groupBy(key).agg(
+        F.count_if(bought).alias("number_of_purchases"),
+        F.count_if("a").alias("number_of_cart_addition"),
+        F.count_if("v").alias("number_of_views"),
+        F.count_if(F.col("a") & ~F.col("vp")).alias(not_purchased_name))
