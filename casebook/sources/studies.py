@@ -519,8 +519,9 @@ MART_SQL = {
 #         event_time), users, page_hierarchy, campaign_identifier
 # --------------------------------------------------------------------------
 
-# Event codes of the funnel study: 1 page view, 2 cart add, 3 purchase,
-# 4 ad impression, 5 ad click. The driver's event names map onto them.
+# The funnel study's event codes, 1 page view, 2 cart add,
+# 3 purchase, 4 ad impression, 5 ad click; the driver's event names map onto
+# them in this order.
 EVENT_CODES = {"view": 1, "click": 2, "purchase": 3, "signup": 4, "error": 5}
 N_PAGES = 13          # 1, 2 landing pages; 3..11 product pages; 12 checkout; 13 confirmation
 CHECKOUT_PAGE = 12
