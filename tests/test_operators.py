@@ -97,11 +97,13 @@ def test_triples_match_brute_force(spark):
     top = sorted(t for t, n in brute.items() if n == best)[0]
     r = most_common_triple(df, "b", "item").first()
     assert (r["product_1"], r["product_2"], r["product_3"], r["combo_count"]) == (*top, best)
-    got = {(r["i1"], r["i2"], r["i3"]): r["combo_count"] for r in triple_counts(df, "b", "item", k=3).collect()}
-    for t, n in got.items():
-        assert brute[t] == n                                 # every reported count is exact
     third = sorted(brute.values(), reverse=True)[2]
-    assert all(t in got for t, n in brute.items() if n >= third)
+    for prune_pairs in (True, False):
+        got = {(r["i1"], r["i2"], r["i3"]): r["combo_count"]
+               for r in triple_counts(df, "b", "item", k=3, prune_pairs=prune_pairs).collect()}
+        for t, n in got.items():
+            assert brute[t] == n                             # every reported count is exact
+        assert all(t in got for t, n in brute.items() if n >= third)
 
 
 def test_cleaning_is_idempotent(spark):
