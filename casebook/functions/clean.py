@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,16 +17,6 @@ def nullify(c, tokens=NULL_TOKENS) -> Column:
     return F.when(~c.isin(*tokens), c)
 
 
-def strip_units(c, units) -> Column:
-    """Remove unit words and all blanks from a numeric text value.
-
-    Longer units are tried first so ``minutes`` is not left as ``s`` after
-    ``minute`` is removed. NULL stays NULL.
-    """
-    alts = "|".join(re.escape(u) for u in sorted(units, key=len, reverse=True))
-    return F.trim(F.regexp_replace(col_(c), rf"({alts}|\s)", ""))
-
-
 def to_number(c, type_: str = "double") -> Column:
     """Text to number; malformed text becomes NULL instead of failing."""
     return col_(c).try_cast(type_)

@@ -30,12 +30,6 @@ def share_of_total(df: DataFrame, part_cols: Sequence[str], value: Column | str,
     return parts.select(*part_cols, percent(F.col("_part"), grand).alias(out))
 
 
-def count_distinct_where(cond: Column, value: Column | str) -> Column:
-    """``count(distinct case when cond then value end)``."""
-    v = F.col(value) if isinstance(value, str) else value
-    return F.countDistinct(F.when(cond, v))
-
-
 def count_where(cond: Column, value: Column | str | None = None) -> Column:
     """``count(case when cond then value end)``; counts rows when no value."""
     if value is None:

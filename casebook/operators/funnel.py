@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casebook.functions.numeric import percent
+from casebook.operators.agg import count_where
 
 VIEW, CART_ADD, PURCHASE, IMPRESSION, CLICK = 1, 2, 3, 4, 5
 
@@ -60,10 +61,10 @@ def visit_summary(events: DataFrame, users: DataFrame, pages: DataFrame,
     per = joined.groupBy("visit_id", "user_id").agg(
         F.min("event_time").alias("visit_start_time"),
         F.count("page_id").alias("page_views"),
-        F.count(F.when(et == CART_ADD, et)).alias("cart_adds"),
+        count_where(et == CART_ADD, et).alias("cart_adds"),
         F.max(F.when(et == PURCHASE, F.lit(1)).otherwise(F.lit(0))).alias("purchase"),
-        F.count(F.when(et == IMPRESSION, et)).alias("impressions"),
-        F.count(F.when(et == CLICK, et)).alias("click"),
+        count_where(et == IMPRESSION, et).alias("impressions"),
+        count_where(et == CLICK, et).alias("click"),
         items.alias("_items"))
     ordered = F.transform(F.array_sort("_items"), lambda x: x["p"].cast("string"))
     return per.withColumn("cart_products", F.when(F.size("_items") > 0, F.array_join(ordered, ","))).drop("_items")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casebook.functions.numeric import int_div
+from casebook.operators.agg import count_where
 from casebook.operators.rank import first_per
 from casebook.operators.sequence import neighbor, neighbors
 
@@ -37,7 +38,7 @@ def latest_state(log: DataFrame, before: dt.date | None = None, inclusive: bool
 
 def pivot_counts(df: DataFrame, col: str, values: Sequence[int], name: str, counted: str = KEY) -> DataFrame:
     """One row: ``count(case when col = v then counted end)`` per value."""
-    return df.agg(*[F.count(F.when(F.col(col) == v, F.col(counted))).alias(name.format(v)) for v in values])
+    return df.agg(*[count_where(F.col(col) == v, counted).alias(name.format(v)) for v in values])
 
 
 def days_to_state(log: DataFrame, target: int) -> DataFrame:

@@ -16,7 +16,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.functions.numeric import MONEY, TOTAL, int_div
+from casebook.functions.numeric import MONEY, TOTAL, int_div, money
 from casebook.operators.sequence import neighbor
 from casebook.sources.tables import Tables
 
@@ -143,7 +143,7 @@ def diner(t: Tables) -> LazyViews:
         return t.part.select(
             F.col("p_partkey").alias("product_id"),
             F.col("p_name").alias("product_name"),
-            F.col("p_retailprice").cast(MONEY).alias("price"),
+            money("p_retailprice").alias("price"),
         )
 
     def members():
@@ -433,7 +433,7 @@ def _bank_transactions(t: Tables) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", "deposit")
         .when(F.col("o_orderstatus") == "O", "purchase")
         .when(F.col("o_orderstatus") == "P", "withdrawal").alias("txn_type"),
-        F.col("o_totalprice").cast(MONEY).alias("txn_amount"),
+        money("o_totalprice").alias("txn_amount"),
     )
 
 
@@ -487,7 +487,7 @@ def _mart_weekly(t: Tables) -> DataFrame:
             segment.alias("segment"),
             F.when(F.col("o_orderstatus") == "F", F.lit("Existing"))
             .when(F.col("o_orderstatus") == "O", F.lit("New")).otherwise(F.lit("Guest")).alias("customer_type"),
-            F.col("o_totalprice").cast(MONEY).alias("amount"),
+            money("o_totalprice").alias("amount"),
         )
     )
     return (
