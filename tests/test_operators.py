@@ -219,3 +219,27 @@ def test_neighbors_both_directions_in_one_pass(spark):
     pdf["p"] = pdf.groupby("k")["v"].shift(1)
     for r in pdf.itertuples():
         assert got[(r.k, r.t)] == (None if pd.isna(r.n) else int(r.n), None if pd.isna(r.p) else int(r.p))
+
+
+def test_missing_numbers_ignores_nulls(spark):
+    from casebook.operators.period import missing_numbers
+    present = spark.createDataFrame([(1,), (2,), (4,), (None,)], "w int")
+    bound = spark.createDataFrame([(5,)], "n int")
+    assert sorted(r["rn"] for r in missing_numbers(present, "w", bound).collect()) == [3, 5]
+    empty_bound = spark.createDataFrame([(0,)], "n int")
+    assert missing_numbers(present, "w", empty_bound).count() == 0
+
+
+def test_before_after_windows(spark):
+    from decimal import Decimal
+
+    from casebook.operators.period import around_date, around_date_as_written
+    d = dt.date(2020, 6, 15)
+    rows = [(d - dt.timedelta(days=7 * i), Decimal(10 * i + 1)) for i in range(-5, 6)]
+    df = spark.createDataFrame(rows, "week_date date, sales decimal(18,2)")
+    w = around_date_as_written(df, "week_date", "sales", d, 2).first()
+    # closed ranges: the baseline week (sales 1) is in both
+    assert (w["prev_weeks_sales"], w["after_weeks_sales"]) == (1 + 11 + 21, 1 - 9 - 19)
+    # half-open ranges: [b - 2 weeks, b) and [b, b + 2 weeks)
+    h = around_date(df, "week_date", "sales", d, 2).first()
+    assert (h["before_sales"], h["after_sales"], h["sales_change"]) == (11 + 21, 1 - 9, (1 - 9) - (11 + 21))
