@@ -57,12 +57,13 @@ def ordinal_pick(df: DataFrame, value: str, picks: dict[str, RankFn],
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     checkpoint_dir(spark)
 
-    counts = df.groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    if not by:
-        counts = counts.withColumn("_g", F.lit(0))      # one group
-    keys = by or ["_g"]
-    ranged = checkpoint_once(counts, ("ordinal", tuple(keys), n_parts), lambda: (
-        counts.repartitionByRange(n_parts, *keys, "_v")
+    # the group is carried as one struct column: struct equality is
+    # null-safe, so a NULL group key joins back to itself like any other
+    gk = F.struct(*[F.col(b) for b in by]) if by else F.lit(0)
+    counts = df.groupBy(gk.alias("_gk"), F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    keys = ["_gk"]
+    ranged = checkpoint_once(counts, ("ordinal", n_parts), lambda: (
+        counts.repartitionByRange(n_parts, "_gk", "_v")
         .withColumn("_chunk", F.spark_partition_id())
         .checkpoint(eager=True)))
 
@@ -87,4 +88,5 @@ def ordinal_pick(df: DataFrame, value: str, picks: dict[str, RankFn],
         (F.col("_r") > F.col("_start") + F.col("_cend") - F.col("_c"))
         & (F.col("_r") <= F.col("_start") + F.col("_cend")))
     picked = hits.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == nm, F.col("_v"))).alias(nm) for nm in names])
-    return sizes.select(*keys).join(picked, keys, "left").select(*by, *names)
+    out = sizes.select(*keys).join(picked, keys, "left")
+    return out.select(*[F.col(f"_gk.{b}").alias(b) for b in by], *names)

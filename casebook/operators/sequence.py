@@ -35,11 +35,14 @@ from casebook.session import checkpoint_dir, checkpoint_once
 
 def _chunks(df: DataFrame, key: list[str], order: list[str], n: int) -> DataFrame:
     """``df`` range-partitioned on (key, order) with its partition id as
-    ``_chunk``, checkpointed once per session and input plan."""
+    ``_chunk`` and the key as one struct column ``_k`` (struct equality is
+    null-safe, so a NULL key joins like any other), checkpointed once per
+    session and input plan."""
     def build():
         checkpoint_dir(df.sparkSession)
         return (df.repartitionByRange(n, *key, *order)
                 .withColumn("_chunk", F.spark_partition_id())
+                .withColumn("_k", F.struct(*[F.col(k) for k in key]))
                 .checkpoint(eager=True))
     return checkpoint_once(df, ("chunks", tuple(key), tuple(order), n), build)
 
@@ -63,12 +66,12 @@ def neighbors(df: DataFrame, key: Sequence[str], order: Sequence[str], value: st
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = _chunks(df, key, order, n)
-    w = Window.partitionBy(*key, "_chunk").orderBy(*order)
-    wc = Window.partitionBy(*key).orderBy("_chunk")
+    w = Window.partitionBy("_k", "_chunk").orderBy(*order)
+    wc = Window.partitionBy("_k").orderBy("_chunk")
 
     # one summary row per (key, chunk): its first and last row's value
     st = F.struct(*[F.col(c) for c in order], F.col(value).alias("_v"))
-    chunks = ranged.groupBy(*key, "_chunk").agg(F.min(st).alias("_lo"), F.max(st).alias("_hi"))
+    chunks = ranged.groupBy("_k", "_chunk").agg(F.min(st).alias("_lo"), F.max(st).alias("_hi"))
     across, inner, fixes = [], ranged, []
     for out, step, edge_of, neighbour_chunk in (
             (next_out, F.lead, "_last", F.lead("_lo._v")), (prev_out, F.lag, "_first", F.lag("_hi._v"))):
@@ -78,10 +81,10 @@ def neighbors(df: DataFrame, key: Sequence[str], order: Sequence[str], value: st
                  .withColumn(edge_of, step(F.lit(True)).over(w).isNull()))     # chunk edge row
         across.append(neighbour_chunk.over(wc).alias(f"_x{out}"))
         fixes.append((out, edge_of))
-    joined = inner.join(chunks.select(*key, "_chunk", *across), [*key, "_chunk"], "left")
+    joined = inner.join(chunks.select("_k", "_chunk", *across), ["_k", "_chunk"], "left")
     for out, edge_of in fixes:
         joined = joined.withColumn(out, F.when(F.col(edge_of), F.col(f"_x{out}")).otherwise(F.col(out)))
-    return joined.drop("_chunk", *[e for _, e in fixes], *[f"_x{o}" for o, _ in fixes])
+    return joined.drop("_k", "_chunk", *[e for _, e in fixes], *[f"_x{o}" for o, _ in fixes])
 
 
 def running_total(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, out: str,
@@ -94,11 +97,11 @@ def running_total(df: DataFrame, key: Sequence[str], order: Sequence[str], value
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = _chunks(df, key, order, n)
-    w = Window.partitionBy(*key, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy("_k", "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_local", F.sum(value).over(w))
-    wc = Window.partitionBy(*key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (ranged.groupBy(*key, "_chunk").agg(F.sum(value).alias("_t"))
-               .select(*key, "_chunk", F.coalesce(F.sum("_t").over(wc), F.lit(0)).alias("_offset")))
-    return (local.join(offsets, [*key, "_chunk"])
+    wc = Window.partitionBy("_k").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy("_k", "_chunk").agg(F.sum(value).alias("_t"))
+               .select("_k", "_chunk", F.coalesce(F.sum("_t").over(wc), F.lit(0)).alias("_offset")))
+    return (local.join(offsets, ["_k", "_chunk"])
             .withColumn(out, F.col("_local") + F.col("_offset"))
-            .drop("_chunk", "_local", "_offset"))
+            .drop("_k", "_chunk", "_local", "_offset"))

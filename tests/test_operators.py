@@ -243,3 +243,16 @@ def test_before_after_windows(spark):
     # half-open ranges: [b - 2 weeks, b) and [b, b + 2 weeks)
     h = around_date(df, "week_date", "sales", d, 2).first()
     assert (h["before_sales"], h["after_sales"], h["sales_change"]) == (11 + 21, 1 - 9, (1 - 9) - (11 + 21))
+
+
+def test_chunked_operators_keep_a_null_key(spark):
+    from casebook.operators.sequence import running_total
+    rows = [(None, i, i) for i in range(40)] + [(1, i, 1) for i in range(40)]
+    df = spark.createDataFrame(rows, "k int, t int, v int")
+    nxt = {(r["k"], r["t"]): r["nv"] for r in neighbor(df, ["k"], ["t"], "v", "nv", "next", partitions=6).collect()}
+    assert all(nxt[(None, i)] == i + 1 for i in range(39)) and nxt[(None, 39)] is None
+    run = {(r["k"], r["t"]): r["s"] for r in running_total(df, ["k"], ["t"], "v", "s", partitions=6).collect()}
+    assert run[(None, 39)] == sum(range(40)) and run[(1, 39)] == 40
+    g = spark.createDataFrame([(None, v) for v in range(10)] + [("a", v) for v in range(5)], "g string, v int")
+    got = {r["g"]: r["m"] for r in ordinal_pick(g, "v", {"m": rank_floor(1, 2)}, by=["g"], partitions=4).collect()}
+    assert got == {None: 4, "a": 1}
