@@ -35,12 +35,14 @@ def first_per(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 def all_firsts_per(df: DataFrame, keys: Sequence[str], order_col: str,
                    descending: bool = False) -> DataFrame:
     """Every row whose ``order_col`` equals the key's minimum (maximum):
-    ``rank() = 1`` semantics, ties kept. One aggregate plus an equi-join on
-    (keys, value); AQE splits a skewed join key."""
+    ``rank() = 1`` semantics, ties kept. One aggregate plus a semi-join on
+    (keys, value), null-safe on the keys; AQE splits a skewed join key."""
     keys = list(keys)
     ext = F.max(order_col) if descending else F.min(order_col)
-    best = df.groupBy(*keys).agg(ext.alias(order_col))
-    return df.join(best, keys + [order_col], "left_semi")
+    best = df.groupBy(*keys).agg(ext.alias(order_col)).alias("_best")
+    cond = [F.col(f"_rows.{c}").eqNullSafe(F.col(f"_best.{c}")) for c in keys] + [
+        F.col(f"_rows.{order_col}") == F.col(f"_best.{order_col}")]
+    return df.alias("_rows").join(best, cond, "left_semi")
 
 
 def top_k(df: DataFrame, order: Sequence, k: int) -> DataFrame:
