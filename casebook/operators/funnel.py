@@ -71,7 +71,7 @@ def visit_summary(events: DataFrame, users: DataFrame, pages: DataFrame,
 
 
 def attach_campaign(visits: DataFrame, campaigns: DataFrame, how: str = "inner",
-                    max_broadcast_rows: int = 10_000) -> DataFrame:
+                    max_broadcast_rows: int = 64) -> DataFrame:
     """Campaign(s) whose [start_date, end_date] contains the visit start.
 
     The calendar is counted first (a small dimension scan). Up to
