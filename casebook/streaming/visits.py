@@ -74,14 +74,15 @@ def visit_summary_stream(events: DataFrame, lateness: str = "1 hour") -> DataFra
 
 
 def start(spark: SparkSession, folder: str, out_dir: str, checkpoint: str | None = None,
-          available_now: bool = False, how: str = "left") -> StreamingQuery:
+          available_now: bool = False, how: str = "left", files: str = "events*.parquet",
+          max_files_per_trigger: int = 1) -> StreamingQuery:
     """Run the incremental summary: ``folder`` of events files in, campaign-
     tagged visit summaries appended as parquet under ``out_dir``. The stream
     checkpoint defaults to a folder under ``spark.checkpoint.dir``."""
     campaigns = spark.createDataFrame(
         CAMPAIGNS, "campaign_name string, start_date timestamp_ntz, end_date timestamp_ntz")
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "visit-summary-stream")
-    summary = visit_summary_stream(study_events(read_events(spark, folder)))
+    summary = visit_summary_stream(study_events(read_events(spark, folder, files, max_files_per_trigger)))
 
     def write(batch: DataFrame, epoch: int) -> None:
         # one folder per micro-batch, overwritten on replay: a batch re-run
