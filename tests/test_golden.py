@@ -132,3 +132,12 @@ def test_pr_rates_and_revenue(spark, pr):
     assert Q["pr_19"](spark, pr).first()[0] == Decimal("94.44")
     speeds = as_dict(Q["pr_15"](spark, pr), "order_id", "speed_of_delivery_in_km_per_min")
     assert round(speeds[1], 4) == round(20 / 32, 4) and 6 not in speeds
+
+
+def test_pr_cleaning_leaves_no_unparseable_text(spark, pr):
+    from casebook.functions.clean import reject_counts
+    r = reject_counts(Q["pr_c9"](spark, pr), {"distance": "decimal(10,1)", "duration": "int",
+                                             "pickup_time": "timestamp_ntz"}).first()
+    assert tuple(r) == (0, 0, 0)
+    raw = reject_counts(pr.runner_orders_raw, {"distance": "decimal(10,1)", "duration": "int"}).first()
+    assert raw["distance_rejects"] > 0 and raw["duration_rejects"] > 0
