@@ -66,6 +66,5 @@ def label_by_prefix(c, mapping: dict[str, str], default: str | None) -> Column:
 def reject_counts(df, casts: dict[str, str]):
     """One-row report: for each column, how many non-NULL values fail to
     convert to its target type (text a cleaning step left unparseable)."""
-    from pyspark.sql import functions as F  # local: keep module import light
     return df.agg(*[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(f"{c}_rejects")
                     for c, t in casts.items()])
