@@ -5,10 +5,10 @@ import datetime as dt
 from decimal import Decimal as Dec
 from types import SimpleNamespace
 
-import __spark_entry__ as se
+from casebook.plans import QUERIES
 from casebook.sources.studies import OPEN_END
 
-Q = se.queries()
+Q = QUERIES                 # the library registry: exact DECIMAL results
 D = dt.date
 
 

@@ -6,11 +6,11 @@ from decimal import Decimal
 
 import pytest
 
-import __spark_entry__ as se
+from casebook.plans import QUERIES
 from casebook.plans import delivery, diner
 from tests import fixtures
 
-Q = se.queries()
+Q = QUERIES                 # the library registry: exact DECIMAL results
 
 
 def rows(df, *cols):

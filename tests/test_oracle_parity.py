@@ -60,3 +60,19 @@ def test_column_types_match_oracle(spark, con, qid):
     for f in df.schema.fields:
         t = f.dataType.simpleString()
         assert _DUCK.get(t, t.upper()) == want[f.name], f.name
+
+
+@pytest.mark.parametrize("qid", ["bt_02", "bt_06", "db_10", "dm_04", "ff_12", "pr_19", "dn_01"])
+def test_pandas_transfer_agrees(spark, con, qid):
+    """Through pandas (Arrow) too, both sides give float64 for money columns."""
+    s = QUERIES[qid](spark, SMALL).toPandas()
+    d = con.execute(ORACLE[qid]).df()
+    for c in s.columns:
+        if str(s[c].dtype).startswith(("float", "int")):
+            assert str(d[c].dtype).startswith(("float", "int")), c
+    num = [c for c in s.columns if str(s[c].dtype).startswith("float")]
+    key = sorted(s.columns)
+    a = s[key].sort_values(key).reset_index(drop=True)
+    b = d[key].sort_values(key).reset_index(drop=True)
+    for c in num:
+        assert (a[c].fillna(-1.0) == b[c].fillna(-1.0)).all(), c

@@ -5,11 +5,11 @@ from types import SimpleNamespace
 
 import pytest
 
-import __spark_entry__ as se
+from casebook.plans import QUERIES
 from tests import fixtures
 from tests.conftest import SMALL
 
-Q = se.queries()
+Q = QUERIES                 # the library registry: exact DECIMAL results
 
 
 @pytest.mark.parametrize("qid,group", [("bt_15", None), ("bt_16", "segment_name"), ("bt_17", "category_name")])

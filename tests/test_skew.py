@@ -10,12 +10,12 @@ import duckdb
 import pandas as pd
 import pytest
 
-import __spark_entry__ as se
+from casebook.plans import QUERIES
 from casebook.plans import subscriptions as ff
 from casebook.sources.studies import PLAN_CATALOGUE
 from tests.conftest import SMALL
 
-Q = se.queries()
+Q = QUERIES                 # the library registry: exact DECIMAL results
 
 
 @pytest.fixture(scope="module")
