@@ -1,20 +1,26 @@
-"""DECIMAL result columns per query (generated by tools/gen_output_types.py).
+"""Result columns handed over as DOUBLE at the driver boundary, per query
+(generated by tools/gen_output_types.py).
 
-The driver contract hands these columns over as DOUBLE on both the Spark
-and the DuckDB side, so engines that convert DECIMAL differently still
-compare equal values; the library itself keeps exact DECIMAL results."""
+DECIMAL columns, and integer columns that hold NULLs: client libraries
+convert these differently (Python Decimal vs float; pandas float64 vs
+Int64), a DOUBLE crosses the same way everywhere. The library itself
+keeps the exact types."""
 
-DECIMAL_COLUMNS = {
+DOUBLE_COLUMNS = {
     'bt_02': ['revenue_before_discounts', 'revenue_after_discounts'],
     'bt_03': ['total_discount_given'],
     'bt_06': ['25th_percentile_rev_per_trans', '50th_percentile_rev_per_trans', '75th_percentile_rev_per_trans'],
     'bt_06_intended': ['25th_percentile_rev_per_trans', '50th_percentile_rev_per_trans', '75th_percentile_rev_per_trans'],
+    'bt_09': ['member'],
     'bt_10': ['total_revenue_for_product'],
     'bt_11': ['total_revenue_generated'],
     'bt_11_intended': ['total_revenue_generated', 'avg_discount_given'],
     'bt_13': ['revnue'],
     'bt_13_intended': ['revnue', 'discount'],
-    'bt_c1': ['price'],
+    'bt_c1': ['price', 'member'],
+    'cb_09': ['product_id'],
+    'cb_10': ['product_id'],
+    'cb_11': ['product_id'],
     'db_06': ['amount_of_transaction'],
     'db_07': ['total_deposit_amount'],
     'db_09': ['deposit', 'purchase', 'withdrawal', 'left_over'],
@@ -46,9 +52,10 @@ DECIMAL_COLUMNS = {
     'dn_10_intended': ['points'],
     'ff_04_intended': ['churn_percentage'],
     'ff_05_intended': ['percentage'],
-    'ff_06_intended': ['percentage'],
+    'ff_06_intended': ['next_plan', 'percentage'],
     'ff_07_intended': ['percentage'],
     'ff_12': ['payment'],
     'ff_12_intended': ['amount'],
+    'pr_07': ['changed_orders', 'unchanged_orders'],
     'pr_19': ['amount'],
 }

@@ -1,7 +1,11 @@
-"""Regenerate casebook/plans/output_types.py: the DECIMAL result columns of
-every registered query (read from the Spark result schemas).
+"""Regenerate casebook/plans/output_types.py: per query, the result columns
+the driver contract hands over as DOUBLE.
 
     python tools/gen_output_types.py
+
+Those are the DECIMAL columns (read from the Spark result schemas) and the
+integer columns that hold NULLs on the driver's tables (a nullable integer
+crosses to pandas as float64 from Spark but as Int64 from DuckDB).
 """
 
 from __future__ import annotations
@@ -10,31 +14,42 @@ import sys
 
 sys.path.insert(0, ".")
 
-from pyspark.sql.types import DecimalType  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql.types import DecimalType, IntegerType, LongType  # noqa: E402
 
 from casebook.plans import QUERIES  # noqa: E402
 from casebook.session import get_session  # noqa: E402
 
+SCALES = ("/root/testdata/sf0.001", "/root/testdata/sf0.01")
+
 
 def main() -> None:
-    spark = get_session("local[4]", 4)
+    spark = get_session("local[8]", 8)
     out = {}
     for qid, fn in sorted(QUERIES.items()):
-        cols = [f.name for f in fn(spark, "/root/testdata/sf0.001").schema.fields
-                if isinstance(f.dataType, DecimalType)]
+        cols = set()
+        for sf in SCALES:
+            df = fn(spark, sf)
+            cols |= {f.name for f in df.schema.fields if isinstance(f.dataType, DecimalType)}
+            ints = [f.name for f in df.schema.fields if isinstance(f.dataType, (IntegerType, LongType))]
+            if ints:
+                r = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in ints]).first()
+                cols |= {c for c in ints if r[c]}
         if cols:
-            out[qid] = cols
-    lines = ['"""DECIMAL result columns per query (generated by tools/gen_output_types.py).',
+            out[qid] = [f.name for f in fn(spark, SCALES[0]).schema.fields if f.name in cols]
+    lines = ['"""Result columns handed over as DOUBLE at the driver boundary, per query',
+             "(generated by tools/gen_output_types.py).",
              "",
-             "The driver contract hands these columns over as DOUBLE on both the Spark",
-             "and the DuckDB side, so engines that convert DECIMAL differently still",
-             'compare equal values; the library itself keeps exact DECIMAL results."""',
+             "DECIMAL columns, and integer columns that hold NULLs: client libraries",
+             "convert these differently (Python Decimal vs float; pandas float64 vs",
+             "Int64), a DOUBLE crosses the same way everywhere. The library itself",
+             'keeps the exact types."""',
              "",
-             "DECIMAL_COLUMNS = {"]
+             "DOUBLE_COLUMNS = {"]
     lines += [f"    {qid!r}: {cols!r}," for qid, cols in out.items()]
     lines += ["}", ""]
     open("casebook/plans/output_types.py", "w").write("\n".join(lines))
-    print(len(out), "queries with decimal outputs")
+    print(len(out), "queries")
 
 
 if __name__ == "__main__":
