@@ -256,3 +256,21 @@ def test_chunked_operators_keep_a_null_key(spark):
     g = spark.createDataFrame([(None, v) for v in range(10)] + [("a", v) for v in range(5)], "g string, v int")
     got = {r["g"]: r["m"] for r in ordinal_pick(g, "v", {"m": rank_floor(1, 2)}, by=["g"], partitions=4).collect()}
     assert got == {None: 4, "a": 1}
+
+
+def test_ordinal_pick_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(st.tuples(st.integers(0, 3), st.integers(-20, 20)), min_size=1, max_size=60),
+           st.integers(1, 99))
+    def check(rows, pct):
+        df = spark.createDataFrame(rows, "g int, v int")
+        got = {r["g"]: r["q"] for r in ordinal_pick(df, "v", {"q": rank_ceil(pct, 100)}, by=["g"],
+                                                     partitions=3).collect()}
+        for g in {r[0] for r in rows}:
+            s = sorted(v for k, v in rows if k == g)
+            r = -(-len(s) * pct // 100)
+            assert got[g] == (s[r - 1] if 1 <= r <= len(s) else None)
+    check()
