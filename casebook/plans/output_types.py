@@ -59,3 +59,32 @@ DOUBLE_COLUMNS = {
     'pr_07': ['changed_orders', 'unchanged_orders'],
     'pr_19': ['amount'],
 }
+
+# DATE result columns, handed over as ISO text ('yyyy-MM-dd'): clients turn
+# a DATE into a date object or a datetime64 value depending on the engine.
+DATE_COLUMNS = {
+    'db_08_intended': ['month'],
+    'db_09_intended': ['month'],
+    'dm_01': ['week_date'],
+    'dm_01_intended': ['week_date'],
+    'dm_c1': ['week_date'],
+    'dm_c10': ['week_date'],
+    'dm_c11': ['week_date'],
+    'dm_c2': ['week_date'],
+    'dm_c3': ['week_date'],
+    'dm_c3_intended': ['week_date'],
+    'dm_c4': ['week_date'],
+    'dm_c5': ['week_date'],
+    'dm_c6': ['week_date'],
+    'dm_c7': ['week_date'],
+    'dm_c8': ['week_date'],
+    'dm_c9': ['week_date'],
+    'dn_06': ['order_date', 'join_date'],
+    'dn_06_intended': ['order_date', 'join_date'],
+    'dn_07': ['order_date', 'join_date'],
+    'dn_07_intended': ['order_date', 'join_date'],
+    'ff_02_intended': ['month_of_start'],
+    'ff_11': ['basic_monthly_start'],
+    'ff_12': ['start_date'],
+    'ff_12_intended': ['payment_date'],
+}
