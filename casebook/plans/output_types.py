@@ -60,9 +60,11 @@ DOUBLE_COLUMNS = {
     'pr_19': ['amount'],
 }
 
-# DATE result columns, handed over as ISO text ('yyyy-MM-dd'): clients turn
-# a DATE into a date object or a datetime64 value depending on the engine.
+# DATE / TIMESTAMP result columns, handed over as ISO text ('yyyy-MM-dd',
+# 'yyyy-MM-dd HH:mm:ss.ffffff'): clients turn them into date objects or
+# datetime64 values of different units depending on the engine.
 DATE_COLUMNS = {
+    'cb_13_intended': ['visit_start_time'],
     'db_08_intended': ['month'],
     'db_09_intended': ['month'],
     'dm_01': ['week_date'],
@@ -87,4 +89,13 @@ DATE_COLUMNS = {
     'ff_11': ['basic_monthly_start'],
     'ff_12': ['start_date'],
     'ff_12_intended': ['payment_date'],
+    'pr_c1': ['order_time'],
+    'pr_c2': ['order_time'],
+}
+
+# the TIMESTAMP ones among them
+TIMESTAMP_COLUMNS = {
+    'cb_13_intended': ['visit_start_time'],
+    'pr_c1': ['order_time'],
+    'pr_c2': ['order_time'],
 }

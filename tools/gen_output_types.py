@@ -15,7 +15,7 @@ import sys
 sys.path.insert(0, ".")
 
 from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql.types import DateType, DecimalType, IntegerType, LongType  # noqa: E402
+from pyspark.sql.types import DateType, DecimalType, IntegerType, LongType, TimestampNTZType  # noqa: E402
 
 from casebook.plans import QUERIES  # noqa: E402
 from casebook.session import get_session  # noqa: E402
@@ -25,11 +25,15 @@ SCALES = ("/root/testdata/sf0.001", "/root/testdata/sf0.01")
 
 def main() -> None:
     spark = get_session("local[8]", 8)
-    out, dates = {}, {}
+    out, dates, stamps = {}, {}, {}
     for qid, fn in sorted(QUERIES.items()):
-        d = [f.name for f in fn(spark, SCALES[0]).schema.fields if isinstance(f.dataType, DateType)]
+        fields = fn(spark, SCALES[0]).schema.fields
+        d = [f.name for f in fields if isinstance(f.dataType, (DateType, TimestampNTZType))]
         if d:
             dates[qid] = d
+        ts = [f.name for f in fields if isinstance(f.dataType, TimestampNTZType)]
+        if ts:
+            stamps[qid] = ts
         cols = set()
         for sf in SCALES:
             df = fn(spark, sf)
@@ -51,10 +55,13 @@ def main() -> None:
              "DOUBLE_COLUMNS = {"]
     lines += [f"    {qid!r}: {cols!r}," for qid, cols in out.items()]
     lines += ["}", "",
-              "# DATE result columns, handed over as ISO text ('yyyy-MM-dd'): clients turn",
-              "# a DATE into a date object or a datetime64 value depending on the engine.",
+              "# DATE / TIMESTAMP result columns, handed over as ISO text ('yyyy-MM-dd',",
+              "# 'yyyy-MM-dd HH:mm:ss.ffffff'): clients turn them into date objects or",
+              "# datetime64 values of different units depending on the engine.",
               "DATE_COLUMNS = {"]
     lines += [f"    {qid!r}: {cols!r}," for qid, cols in dates.items()]
+    lines += ["}", "", "# the TIMESTAMP ones among them", "TIMESTAMP_COLUMNS = {"]
+    lines += [f"    {qid!r}: {cols!r}," for qid, cols in stamps.items()]
     lines += ["}", ""]
     open("casebook/plans/output_types.py", "w").write("\n".join(lines))
     print(len(out), "queries")
