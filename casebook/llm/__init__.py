@@ -1,8 +1,9 @@
 """Operators for training-data pipelines. Nothing outside imports this package."""
 
-from casebook.llm import bpe, mixing
+from casebook.llm import bpe, mixing, secret_scan
 
 QUERIES = {
+    "op3_secret_scan": secret_scan.op3_secret_scan,
     "op6_bpe": bpe.op6_bpe,
     "op9_mixing": mixing.op9_mixing,
 }
