@@ -1,9 +1,10 @@
 """Operators for training-data pipelines. Nothing outside imports this package."""
 
-from casebook.llm import bpe, mixing, secret_scan
+from casebook.llm import bpe, golay_simhash, mixing, secret_scan
 
 QUERIES = {
     "op3_secret_scan": secret_scan.op3_secret_scan,
+    "op4_golay_simhash": golay_simhash.op4_golay_simhash,
     "op6_bpe": bpe.op6_bpe,
     "op9_mixing": mixing.op9_mixing,
 }
