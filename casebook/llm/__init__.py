@@ -1,12 +1,13 @@
 """Operators for training-data pipelines. Nothing outside imports this package."""
 
-from casebook.llm import bpe, golay_simhash, mixing, quality_rules, secret_scan
+from casebook.llm import bpe, golay_simhash, mixing, quality_rules, secret_scan, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op3_secret_scan": secret_scan.op3_secret_scan,
     "op4_golay_simhash": golay_simhash.op4_golay_simhash,
     "op6_bpe": bpe.op6_bpe,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_mixing": mixing.op9_mixing,
 }
 
