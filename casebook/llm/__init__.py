@@ -1,6 +1,6 @@
 """Operators for training-data pipelines. Nothing outside imports this package."""
 
-from casebook.llm import ann_blocks, bpe, golay_simhash, html_text, mixing, quality_rules, secret_scan, topk_columnar, toxicity
+from casebook.llm import ann_blocks, bpe, golay_simhash, html_text, mixing, quality_rules, repeat_windows, secret_scan, topk_columnar, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_ann_blocks": ann_blocks.op7_ann_blocks,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_mixing": mixing.op9_mixing,
+    "op10_repeat_windows": repeat_windows.op10_repeat_windows,
 }
 
 ORACLE = {
