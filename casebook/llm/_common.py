@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,15 +12,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the reliable checkpoint folder and read back.
-
-    The folder is the context's own if one is set, else the one that
-    ``spark.checkpoint.dir`` names. Only a session with neither (a local
-    test) gets a temp folder.
-    """
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The reliable checkpoint folder: the context's own if one is set, else
+    the one that ``spark.checkpoint.dir`` names. Only a session with neither
+    (a local test) gets a temp folder."""
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         named = sc.getConf().get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="casebook-llm-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the reliable checkpoint folder and read back."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet under the shared folder and reread."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
