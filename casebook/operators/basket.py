@@ -10,8 +10,8 @@ is pruned a-priori style with an exact lower bound on the answer:
    frequent items only; it is the count of a real triple, so the best triple
    overall has count >= L;
 3. drop items with support < L (they cannot be in any triple of count
-   >= L); when baskets are large, also drop pairs with support < L and
-   build triples from surviving pairs only.
+   >= L), count the pairs of those left, and extend only pairs with
+   support >= L to triples.
 
 Every triple with count >= L is counted exactly, so the top triple (and all
 its ties) is exact. Joins are equi-joins on the basket key; AQE splits a
@@ -23,8 +23,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.session import checkpoint_dir, checkpoint_once
-
 
 def _pairs(pt: DataFrame) -> DataFrame:
     a, b = pt.alias("a"), pt.alias("b")
@@ -40,20 +38,11 @@ def _extend(pairs: DataFrame, pt: DataFrame) -> DataFrame:
 
 
 def triple_counts(items: DataFrame, basket: str, item: str, k: int = 1,
-                  seed_items: int = 32, prune_pairs: bool | None = None,
-                  large_basket: int = 64) -> DataFrame:
+                  seed_items: int = 32) -> DataFrame:
     """All item triples (i1 < i2 < i3) whose basket count is at least the
     pruning bound, with ``combo_count``. The ``k`` most frequent triples and
-    everything tied with them are always included.
-
-    Pair pruning costs one extra pass over the per-basket pairs and pays off
-    only for large baskets; by default (``prune_pairs=None``) it is used
-    when the largest basket holds more than ``large_basket`` items (one
-    aggregate value decides)."""
-    # distinct (basket, item), written once: the steps below read it five times
-    checkpoint_dir(items.sparkSession)
-    distinct = items.select(F.col(basket).alias("basket"), F.col(item).alias("item")).distinct()
-    pt = checkpoint_once(distinct, ("basket",), lambda: distinct.checkpoint(eager=True))
+    everything tied with them are always included."""
+    pt = items.select(F.col(basket).alias("basket"), F.col(item).alias("item")).distinct()
     support = pt.groupBy("item").agg(F.count(F.lit(1)).alias("s"))
 
     seed = support.orderBy(F.desc("s"), F.asc("item")).limit(seed_items).select("item")
@@ -66,12 +55,6 @@ def triple_counts(items: DataFrame, basket: str, item: str, k: int = 1,
 
     frequent = support.where(F.col("s") >= bound).select("item")
     pf = pt.join(frequent, "item", "left_semi")
-    if prune_pairs is None:
-        biggest = pt.groupBy("basket").count().agg(F.max("count")).first()[0] or 0
-        prune_pairs = biggest > large_basket
-    if not prune_pairs:
-        counts = _extend(_pairs(pf), pf).groupBy("i1", "i2", "i3").agg(F.count(F.lit(1)).alias("combo_count"))
-        return counts.where(F.col("combo_count") >= bound)
     pair_counts = _pairs(pf).groupBy("i1", "i2").agg(F.count(F.lit(1)).alias("n"))
     good_pairs = pair_counts.where(F.col("n") >= bound).select("i1", "i2")
 

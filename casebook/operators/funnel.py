@@ -70,19 +70,13 @@ def visit_summary(events: DataFrame, users: DataFrame, pages: DataFrame,
     return per.withColumn("cart_products", F.when(F.size("_items") > 0, F.array_join(ordered, ","))).drop("_items")
 
 
-def attach_campaign(visits: DataFrame, campaigns: DataFrame, how: str = "inner",
-                    max_broadcast_rows: int = 64) -> DataFrame:
+def attach_campaign(visits: DataFrame, campaigns: DataFrame, how: str = "inner") -> DataFrame:
     """Campaign(s) whose [start_date, end_date] contains the visit start.
 
-    The calendar is counted first (a small dimension scan). Up to
-    ``max_broadcast_rows`` campaigns it is broadcast and each visit is tested
-    against every campaign; beyond that both sides are keyed by calendar
-    day (a campaign expands to the days it covers) and joined on the day,
-    with the exact time range as the join condition, so no visit meets a
-    campaign that does not overlap its day."""
+    Both sides are keyed by calendar day (a campaign expands to the days it
+    covers) and joined on the day, with the exact time range as the join
+    condition, so no visit meets a campaign that does not overlap its day."""
     cond = (F.col("visit_start_time") >= F.col("start_date")) & (F.col("visit_start_time") <= F.col("end_date"))
-    if campaigns.count() <= max_broadcast_rows:
-        return visits.join(F.broadcast(campaigns), cond, how).drop("start_date", "end_date")
     days = campaigns.withColumn("_day", F.explode(F.sequence(F.to_date("start_date"), F.to_date("end_date"))))
     keyed = visits.withColumn("_day", F.to_date("visit_start_time"))
     return (keyed.join(days, (keyed["_day"] == days["_day"]) & cond, how)

@@ -65,8 +65,9 @@ def payment_schedule(log: DataFrame, plans: DataFrame, period_start: dt.date, pe
     ``upgrade_credit``; churn (no price) ends payments. Identical plan rows
     (same customer, day and plan) are one subscription event.
 
-    Each plan row expands to 14 month offsets around the period, so the
-    output grows with rows x months of the period only."""
+    Each plan row expands to the month offsets between the period's start and
+    the row's own end (its next plan or the period's end), so the output grows
+    with rows x months of the period only."""
     d = log.select(KEY, START, STATE).distinct().withColumn("_s", F.struct(START, STATE))
     d = (neighbors(d, [KEY], ORDER, "_s", next_out="_nx", prev_out="_pv")
          .withColumn("_next_start", F.col(f"_nx.{START}")).withColumn("_prev_plan", F.col(f"_pv.{STATE}")))
@@ -74,8 +75,10 @@ def payment_schedule(log: DataFrame, plans: DataFrame, period_start: dt.date, pe
     # first month offset that can fall in the period (integer month arithmetic)
     lag_months = ((F.lit(period_start.year) - F.year(START)) * 12 + F.lit(period_start.month) - F.month(START))
     k0 = F.greatest(F.lit(0), lag_months - 1)
-    paid = d.where(F.col(STATE).isin(*monthly, *annual)).select(
-        "*", F.explode(F.sequence(k0, k0 + 13)).alias("_k"))
+    # and the last: the calendar months from the row's start to its end
+    k1 = (F.year(end) - F.year(START)) * 12 + F.month(end) - F.month(START)
+    paid = d.where(F.col(STATE).isin(*monthly, *annual)).where(k1 >= k0).select(
+        "*", F.explode(F.sequence(k0, k1)).alias("_k"))
     due = paid.withColumn("payment_date", F.add_months(F.col(START), F.col("_k"))).where(
         (F.col("payment_date") < end) & (F.col("payment_date") >= F.lit(period_start))
         & (F.col(STATE).isin(*monthly) | (F.col("_k") == 0)))

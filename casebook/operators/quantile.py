@@ -6,13 +6,12 @@ same value, the one at a given 1-based rank of the ascending order:
 
 1. collapse equal values to (group, value, multiplicity): map-side combined,
    so a value repeated a billion times costs one row;
-2. ``repartitionByRange`` on (group, value): Spark's own sampled range
-   partitioner cuts the sorted order into ~equal chunks, so a hot group is
-   spread over many tasks; the chunked rows are checkpointed (shared
-   ``spark.checkpoint.dir``) because the next steps read them three times
-   and a second range exchange would sample other bounds;
-3. per (group, chunk) multiplicity totals, at most groups + partitions rows;
-   running sums over them give each chunk's rank offset;
+2. cut the value axis into chunks by an order-preserving expression of the
+   value (its sign and 1/1024 octaves of its size), so a hot group is spread
+   over many tasks and a heavy tail over few chunks; the chunk is a function
+   of the value, so no ranges are sampled and nothing is written in between;
+3. per (group, chunk) multiplicity totals; running sums over them give each
+   chunk's rank offset;
 4. only the chunks that hold a wanted rank are ranked exactly, each in its
    own task, by a running sum of multiplicities.
 
@@ -27,8 +26,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from casebook.session import checkpoint_dir, checkpoint_once
-
 RankFn = Callable[[Column], Column]
 
 
@@ -43,29 +40,30 @@ def rank_ceil(num: int, den: int) -> RankFn:
 
 
 def _idiv(a: Column, b: int) -> Column:
-    return F.try_divide(a - (a % b), F.lit(b)).cast("bigint")
+    return F.call_function("div", a, F.lit(b))
+
+
+def value_chunk(v: Column) -> Column:
+    """A long that never decreases with the numeric ``v``; equal values have
+    equal chunks."""
+    d = v.cast("double")
+    size = F.floor(F.log2(F.abs(d)) * 1024) + (1 << 21)
+    return F.when(d == 0, F.lit(0)).otherwise(F.signum(d).cast("bigint") * size).cast("bigint")
 
 
 def ordinal_pick(df: DataFrame, value: str, picks: dict[str, RankFn],
-                 by: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+                 by: Sequence[str] = ()) -> DataFrame:
     """For each group of ``by``: columns ``picks`` holding the value at rank
     ``picks[name](n)`` (n = rows in the group), or NULL when that rank is
     below 1 or above n."""
     by = list(by)
     names = list(picks)
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    checkpoint_dir(spark)
-
     # the group is carried as one struct column: struct equality is
     # null-safe, so a NULL group key joins back to itself like any other
     gk = F.struct(*[F.col(b) for b in by]) if by else F.lit(0)
     counts = df.groupBy(gk.alias("_gk"), F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
     keys = ["_gk"]
-    ranged = checkpoint_once(counts, ("ordinal", n_parts), lambda: (
-        counts.repartitionByRange(n_parts, "_gk", "_v")
-        .withColumn("_chunk", F.spark_partition_id())
-        .checkpoint(eager=True)))
+    ranged = counts.withColumn("_chunk", value_chunk(F.col("_v")))
 
     # chunk offsets within each group (rows: groups + chunks)
     wc = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0)

@@ -2,21 +2,18 @@
 
 A ``Window.partitionBy(key)`` sends every row of a key to one task: a
 customer holding a third of the table would be sorted by a single core.
-``neighbor`` cuts each key's ordered rows into chunks instead:
-
-1. ``repartitionByRange`` on (key, order): contiguous sorted ranges of
-   about equal size, so a hot key spans many partitions;
-2. the range partition id becomes part of the window key (key, chunk): each
-   window task holds one range, never a whole hot key;
-3. the rows at a chunk edge take their neighbour from the adjacent chunk of
-   the same key, found with a window over the chunk summaries (at most one
-   row per (key, chunk), and a hot key has no more chunks than partitions).
-
-The chunk ids must be the same in the row branch and the summary branch.
-Two range exchanges would sample different bounds, so the range-partitioned
-rows are written once with ``checkpoint()`` (to the shared folder named by
-``spark.checkpoint.dir``) and both branches read that copy; a lost executor
-re-reads it instead of re-sampling.
+``neighbor`` cuts each key's ordered rows into chunks by an expression of the
+first order column (the calendar month of a date, blocks of 4096 of a number,
+or ``chunk=``), which must not decrease along the order:
+
+1. windows run per (key, chunk), so a hot key is spread over its chunks;
+2. the rows at a chunk edge take their neighbour from the adjacent chunk of
+   the same key, found with a window over the chunk summaries (one row per
+   (key, chunk): bounded by the calendar, not by the key's rows).
+
+The chunk is a function of the row, so both steps agree on it without
+sampled ranges, and nothing is written in between: building a query runs no
+job, and a lost executor recomputes from the source.
 
 The result equals ``lead``/``lag`` over the total order (key, order...).
 Ties in ``order`` must be broken by the caller (pass enough columns).
@@ -26,82 +23,83 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 from pyspark.sql.window import Window
 
-from casebook.session import checkpoint_dir, checkpoint_once
+_BLOCK = 4096
+
 
+def _default_chunk(df: DataFrame, column: str) -> Column:
+    kind = df.schema[column].dataType
+    if isinstance(kind, (DateType, TimestampType, TimestampNTZType)):
+        return F.date_trunc("month", F.col(column))
+    if isinstance(kind, NumericType):
+        return F.floor(F.col(column) / _BLOCK)
+    return F.lit(0)
 
-def _chunks(df: DataFrame, key: list[str], order: list[str], n: int) -> DataFrame:
-    """``df`` range-partitioned on (key, order) with its partition id as
-    ``_chunk`` and the key as one struct column ``_k`` (struct equality is
-    null-safe, so a NULL key joins like any other), checkpointed once per
-    session and input plan."""
-    def build():
-        checkpoint_dir(df.sparkSession)
-        return (df.repartitionByRange(n, *key, *order)
-                .withColumn("_chunk", F.spark_partition_id())
-                .withColumn("_k", F.struct(*[F.col(k) for k in key]))
-                .checkpoint(eager=True))
-    return checkpoint_once(df, ("chunks", tuple(key), tuple(order), n), build)
+
+def _chunked(df: DataFrame, key: list[str], order: list[str], chunk: Column | None) -> DataFrame:
+    """``df`` with its key as one struct column ``_k`` and (key, chunk) as
+    ``_kc``; struct equality is null-safe, so NULL keys join like any other."""
+    chunk = _default_chunk(df, order[0]) if chunk is None else chunk
+    return (df.withColumn("_chunk", chunk)
+            .withColumn("_k", F.struct(*[F.col(k) for k in key]))
+            .withColumn("_kc", F.struct("_k", "_chunk")))
 
 
 def neighbor(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, out: str,
-             direction: str = "next", partitions: int | None = None) -> DataFrame:
+             direction: str = "next", chunk: Column | None = None) -> DataFrame:
     """Add ``out``: ``value`` of the next (``direction='next'``, lead) or
     previous (``'prev'``, lag) row of the same key in ``order``."""
     if direction not in ("next", "prev"):
         raise ValueError(direction)
     outs = {"next_out": out} if direction == "next" else {"prev_out": out}
-    return neighbors(df, key, order, value, partitions=partitions, **outs)
+    return neighbors(df, key, order, value, chunk=chunk, **outs)
 
 
 def neighbors(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str,
               next_out: str | None = None, prev_out: str | None = None,
-              partitions: int | None = None) -> DataFrame:
+              chunk: Column | None = None) -> DataFrame:
     """Add ``next_out`` (lead) and/or ``prev_out`` (lag) of ``value`` in one
-    pass over one set of range chunks."""
+    pass over one set of chunks."""
     key, order = list(key), list(order)
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = _chunks(df, key, order, n)
-    w = Window.partitionBy("_k", "_chunk").orderBy(*order)
+    rows = _chunked(df, key, order, chunk)
+    w = Window.partitionBy("_kc").orderBy(*order)
+    inner = (rows.withColumn("_last", F.lead(F.lit(True)).over(w).isNull())     # chunk edge rows
+             .withColumn("_first", F.lag(F.lit(True)).over(w).isNull()))
     wc = Window.partitionBy("_k").orderBy("_chunk")
-
-    # one summary row per (key, chunk): its first and last row's value
-    st = F.struct(*[F.col(c) for c in order], F.col(value).alias("_v"))
-    chunks = ranged.groupBy("_k", "_chunk").agg(F.min(st).alias("_lo"), F.max(st).alias("_hi"))
-    across, inner, fixes = [], ranged, []
-    for out, step, edge_of, neighbour_chunk in (
-            (next_out, F.lead, "_last", F.lead("_lo._v")), (prev_out, F.lag, "_first", F.lag("_hi._v"))):
-        if out is None:
-            continue
-        inner = (inner.withColumn(out, step(F.col(value)).over(w))
-                 .withColumn(edge_of, step(F.lit(True)).over(w).isNull()))     # chunk edge row
-        across.append(neighbour_chunk.over(wc).alias(f"_x{out}"))
-        fixes.append((out, edge_of))
-    joined = inner.join(chunks.select("_k", "_chunk", *across), ["_k", "_chunk"], "left")
-    for out, edge_of in fixes:
-        joined = joined.withColumn(out, F.when(F.col(edge_of), F.col(f"_x{out}")).otherwise(F.col(out)))
-    return joined.drop("_k", "_chunk", *[e for _, e in fixes], *[f"_x{o}" for o, _ in fixes])
+    chunks = inner.where("_first or _last").groupBy("_kc").agg(
+        F.max(F.when(F.col("_first"), F.struct(F.col(value).alias("v")))).alias("_lo"),
+        F.max(F.when(F.col("_last"), F.struct(F.col(value).alias("v")))).alias("_hi")).select(
+        "_kc", F.col("_kc._k").alias("_k"), F.col("_kc._chunk").alias("_chunk"), "_lo", "_hi")
+    across = []
+    for out, step, neighbour in ((next_out, F.lead, F.lead("_lo")), (prev_out, F.lag, F.lag("_hi"))):
+        if out is not None:
+            inner = inner.withColumn(out, step(F.col(value)).over(w))
+            across.append(neighbour.over(wc)["v"].alias(f"_x{out}"))
+    joined = inner.join(chunks.select("_kc", *across), "_kc", "left")
+    for out, edge in ((next_out, "_last"), (prev_out, "_first")):
+        if out is not None:
+            joined = joined.withColumn(out, F.when(F.col(edge), F.col(f"_x{out}")).otherwise(F.col(out)))
+    return joined.drop("_k", "_kc", "_chunk", "_last", "_first", *[f"_x{o}" for o in (next_out, prev_out) if o])
 
 
 def running_total(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, out: str,
-                  partitions: int | None = None) -> DataFrame:
+                  chunk: Column | None = None) -> DataFrame:
     """Add ``out``: sum of ``value`` over the key's rows up to and including
     this one in ``order`` (a ROWS frame), computed chunk by chunk like
-    ``neighbor``: a running sum inside each range chunk plus the totals of
-    the key's earlier chunks."""
+    ``neighbor``: a running sum inside each chunk plus the totals of the
+    key's earlier chunks."""
     key, order = list(key), list(order)
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = _chunks(df, key, order, n)
-    w = Window.partitionBy("_k", "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.withColumn("_local", F.sum(value).over(w))
+    rows = _chunked(df, key, order, chunk)
+    w = Window.partitionBy("_kc").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = rows.withColumn("_local", F.sum(value).over(w))
     wc = Window.partitionBy("_k").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (ranged.groupBy("_k", "_chunk").agg(F.sum(value).alias("_t"))
-               .select("_k", "_chunk", F.coalesce(F.sum("_t").over(wc), F.lit(0)).alias("_offset")))
-    return (local.join(offsets, ["_k", "_chunk"])
+    offsets = (rows.groupBy("_kc").agg(F.sum(value).alias("_t"))
+               .select("_kc", F.col("_kc._k").alias("_k"), F.col("_kc._chunk").alias("_chunk"), "_t")
+               .select("_kc", F.coalesce(F.sum("_t").over(wc), F.lit(0)).alias("_offset")))
+    return (local.join(offsets, "_kc")
             .withColumn(out, F.col("_local") + F.col("_offset"))
-            .drop("_k", "_chunk", "_local", "_offset"))
+            .drop("_k", "_kc", "_chunk", "_local", "_offset"))

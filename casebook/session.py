@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import shlex
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. On a cluster these are normally set by the
@@ -17,74 +18,60 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a hot join key is split even if an aggregate on the key follows
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # checkpoints written by operators are removed once their data is unreachable
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
+def _submitted() -> set[str]:
+    """Settings already given by the submitter: in the driver JVM's
+    configuration if one is running, else in PYSPARK_SUBMIT_ARGS and in the
+    defaults file of SPARK_CONF_DIR."""
+    if SparkContext._gateway is not None or "PYSPARK_GATEWAY_PORT" in os.environ:
+        SparkContext._ensure_initialized()
+        return {k for k, _ in SparkConf().getAll()}
+    args = shlex.split(os.environ.get("PYSPARK_SUBMIT_ARGS", ""))
+    given = {b.split("=", 1)[0] for a, b in zip(args, args[1:]) if a in ("--conf", "-c")}
+    if "--driver-memory" in args:
+        given.add("spark.driver.memory")
+    file = os.path.join(os.environ.get("SPARK_CONF_DIR", ""), "spark-defaults.conf")
+    if os.path.isfile(file):
+        with open(file) as f:
+            given |= {x.split("=")[0].split()[0] for x in f if x.strip() and not x.startswith("#")}
+    return given
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "casebook") -> SparkSession:
-    """Return the active session or build one (local runs and tests)."""
+    """The running session, unchanged, or a new one (local runs and tests)
+    with the defaults above for whatever the submitter left unset."""
+    running = SparkSession.getActiveSession() or SparkSession._instantiatedSession
+    if running is not None and running.sparkContext._jsc is not None:
+        return running
+    defaults = dict(_DEFAULTS)
+    if shuffle_partitions:
+        defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if memory := os.environ.get("CASEBOOK_DRIVER_MEMORY", "8g" if master and master.startswith("local") else ""):
+        defaults["spark.driver.memory"] = memory
+    given = _submitted()
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for k, v in _DEFAULTS.items():
-        builder = builder.config(k, v)
-    if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("CASEBOOK_DRIVER_MEMORY", "8g"))
+    for k, v in defaults.items():
+        if k not in given:
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    try:
-        spark.sparkContext.setLogLevel("ERROR")
-    except Exception:  # noqa: BLE001 - Spark Connect client
-        pass
-    checkpoint_dir(spark)
+    spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def session_key(spark: SparkSession) -> str:
-    """A key that identifies the session (not just the Python object, whose
-    id can be reused after a session is stopped and another created)."""
-    for get in (lambda: spark._jsparkSession.sessionUUID(), lambda: spark.session_id):
-        try:
-            return str(get())
-        except Exception:  # noqa: BLE001 - classic vs Connect sessions
-            continue
-    return str(id(spark))
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    A cluster names a shared folder in that setting and we use it as is.
-    Only when it is unset (local runs, tests) do we make our own under the
-    system temp folder.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared checkpoint folder: the context's own, else the one named by
+    ``spark.checkpoint.dir``. Raises if there is neither; nothing is set."""
+    own = spark.sparkContext._jsc.sc().getCheckpointDir()
+    d = own.get() if own.isDefined() else spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="casebook-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # noqa: BLE001 - a Spark Connect client has no SparkContext;
-        pass           # its server takes the folder from spark.checkpoint.dir
+        raise ValueError("no checkpoint folder: set spark.checkpoint.dir to a shared folder or pass checkpoint=")
     return d
-
-
-# Reliable checkpoints already written in this session, so that queries of
-# one session that derive the same intermediate result (e.g. several bank
-# queries over the node allocations) write it once.
-_CHECKPOINTS: list[tuple[str, object, tuple, object]] = []
-
-
-def checkpoint_once(df, params: tuple, build):
-    """``build()`` (which returns a checkpointed DataFrame derived from ``df``)
-    once per session for each (``df`` plan, ``params``); later calls with a
-    semantically equal input plan get the same checkpoint back."""
-    sid = session_key(df.sparkSession)
-    for s, d, p, r in _CHECKPOINTS:
-        if s == sid and p == params and d.columns == df.columns and d.sameSemantics(df):
-            return r
-    r = build()
-    _CHECKPOINTS.append((sid, df, params, r))
-    return r

@@ -365,11 +365,12 @@ def subscriptions(t: Tables) -> LazyViews:
         )
 
     def plans():
-        return v.subscriptions.select("plan_id").distinct().select(
+        # one row per plan of the catalogue (and NULL): small by its key domain
+        return F.broadcast(v.subscriptions.select("plan_id").distinct().select(
             "plan_id",
             _plan_case("plan_id", 1).alias("plan_name"),
             _plan_case("plan_id", 2, "decimal(5,2)").alias("price"),
-        )
+        ))
     v = LazyViews(subscriptions=subs, plans=plans)
     return v
 
@@ -404,10 +405,11 @@ def bank(t: Tables) -> LazyViews:
     return LazyViews(
         regions=lambda: t.region.select(F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region_name")),
         customer_nodes=lambda: _bank_nodes(t),
+        node_spans=lambda: _bank_nodes(t, ends=False),
         customer_transactions=lambda: _bank_transactions(t))
 
 
-def _bank_nodes(t: Tables) -> DataFrame:
+def _bank_nodes(t: Tables, ends: bool = True) -> DataFrame:
     cust_region = _lookup(
         t.customer.select("c_custkey", "c_nationkey").join(
             t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"), "c_nationkey"),
@@ -420,10 +422,11 @@ def _bank_nodes(t: Tables) -> DataFrame:
     )
     # a node allocation ends where the customer's next one starts (open end:
     # sentinel); the region is looked up afterwards, and only if used
-    return (neighbor(spans, ["customer_id"], ["start_date", "o_orderkey"], "start_date", "end_date", "next")
-            .withColumn("end_date", F.coalesce(F.col("end_date"), F.lit(OPEN_END)))
-            .join(cust_region, "customer_id", "left")
-            .select("customer_id", F.col("n_regionkey").alias("region_id"), "node_id", "start_date", "end_date"))
+    if ends:
+        spans = neighbor(spans, ["customer_id"], ["start_date", "o_orderkey"], "start_date", "end_date", "next").withColumn(
+            "end_date", F.coalesce(F.col("end_date"), F.lit(OPEN_END)))
+    return spans.join(cust_region, "customer_id", "left").select(
+        "customer_id", F.col("n_regionkey").alias("region_id"), "node_id", "start_date", *["end_date"] * ends)
 
 
 def _bank_transactions(t: Tables) -> DataFrame:
@@ -566,12 +569,13 @@ def _funnel_events(t: Tables) -> DataFrame:
 
 def _page_hierarchy(events: DataFrame) -> DataFrame:
     is_product = F.col("page_id").between(3, 11)
-    return events.select("page_id").distinct().select(
+    # at most N_PAGES rows (and NULL), by the key's modulus
+    return F.broadcast(events.select("page_id").distinct().select(
         "page_id",
         F.when(is_product, F.concat(F.lit("group_"), (int_div(F.col("page_id") - 3, F.lit(3)) + 1).cast("string")))
         .alias("product_category"),
         F.when(is_product, F.col("page_id") - 2).alias("product_id"),
-    )
+    ))
 
 
 def _campaign_values() -> str:

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.session import session_key
-
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -13,14 +11,9 @@ TABLES = (
 )
 
 
-# (session, folder, table) -> DataFrame. A DataFrame is an immutable plan, so
-# queries of one session share it and list files / read footers once; set
-# ``casebook.reuse_tables=false`` on the session to re-read every time.
-_READ_CACHE: dict[tuple[str, str, str], DataFrame] = {}
-
-
 class Tables(dict):
-    """``dict`` of DataFrames that reads each parquet file on first access."""
+    """``dict`` of DataFrames that reads each parquet file on first access. It
+    lives as long as one query: the next query lists the files anew."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
@@ -30,14 +23,7 @@ class Tables(dict):
     def __missing__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise KeyError(name)
-        path = f"{self.sf_dir}/{name}.parquet"
-        reuse = self.spark.conf.get("casebook.reuse_tables", "true") == "true"
-        key = (session_key(self.spark), self.sf_dir, name)
-        df = _READ_CACHE.get(key) if reuse else None
-        if df is None:
-            df = self.spark.read.parquet(path)
-            if reuse:
-                _READ_CACHE[key] = df
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         self[name] = df
         return df
 

@@ -10,6 +10,7 @@ against the small campaign calendar) and written as parquet.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,10 +79,12 @@ def start(spark: SparkSession, folder: str, out_dir: str, checkpoint: str | None
           max_files_per_trigger: int = 1) -> StreamingQuery:
     """Run the incremental summary: ``folder`` of events files in, campaign-
     tagged visit summaries appended as parquet under ``out_dir``. The stream
-    checkpoint defaults to a folder under ``spark.checkpoint.dir``."""
+    checkpoint defaults to a folder of this ``out_dir`` under the session's
+    checkpoint folder; without either an error says so."""
     campaigns = spark.createDataFrame(
         CAMPAIGNS, "campaign_name string, start_date timestamp_ntz, end_date timestamp_ntz")
-    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "visit-summary-stream")
+    ckpt = checkpoint or os.path.join(
+        checkpoint_dir(spark), "visit-summary-" + hashlib.sha256(out_dir.encode()).hexdigest()[:16])
     summary = visit_summary_stream(study_events(read_events(spark, folder, files, max_files_per_trigger)))
 
     def write(batch: DataFrame, epoch: int) -> None:

@@ -35,7 +35,7 @@ def test_ordinal_pick_matches_sorting(spark, seed):
     df = spark.createDataFrame(rows, "g int, v int, i int")
     picks = {"p25": rank_floor(25, 100), "p50": rank_floor(1, 2), "p95": rank_ceil(95, 100), "p0": rank_floor(0, 1)}
     got = {r["g"]: (r["p25"], r["p50"], r["p95"], r["p0"])
-           for r in ordinal_pick(df, "v", picks, by=["g"], partitions=16).collect()}
+           for r in ordinal_pick(df, "v", picks, by=["g"]).collect()}
     pdf = pd.DataFrame(rows, columns=["g", "v", "i"])
     for g, part in pdf.groupby("g"):
         s = sorted(part["v"])
@@ -49,7 +49,7 @@ def test_ordinal_pick_matches_sorting(spark, seed):
 def test_ordinal_pick_single_group(spark):
     rows = [(v,) for v in [5] * 50 + list(range(100))]
     df = spark.createDataFrame(rows, "v int")
-    r = ordinal_pick(df, "v", {"a": rank_floor(1, 2), "b": rank_ceil(75, 100)}, partitions=8).first()
+    r = ordinal_pick(df, "v", {"a": rank_floor(1, 2), "b": rank_ceil(75, 100)}).first()
     s = sorted(x[0] for x in rows)
     assert (r["a"], r["b"]) == (s[len(s) // 2 - 1], s[-(-len(s) * 75 // 100) - 1])
 
@@ -58,8 +58,8 @@ def test_neighbor_matches_pandas_shift(spark):
     rnd = random.Random(3)
     rows = [(0 if rnd.random() < 0.5 else rnd.randrange(1, 20), i, rnd.randrange(100)) for i in range(2000)]
     df = spark.createDataFrame(rows, "k int, t int, v int")
-    nxt = {(r["k"], r["t"]): r["nv"] for r in neighbor(df, ["k"], ["t"], "v", "nv", "next", partitions=7).collect()}
-    prv = {(r["k"], r["t"]): r["pv"] for r in neighbor(df, ["k"], ["t"], "v", "pv", "prev", partitions=7).collect()}
+    nxt = {(r["k"], r["t"]): r["nv"] for r in neighbor(df, ["k"], ["t"], "v", "nv", "next", chunk=F.floor(F.col("t") / 50)).collect()}
+    prv = {(r["k"], r["t"]): r["pv"] for r in neighbor(df, ["k"], ["t"], "v", "pv", "prev", chunk=F.floor(F.col("t") / 50)).collect()}
     pdf = pd.DataFrame(rows, columns=["k", "t", "v"]).sort_values(["k", "t"])
     pdf["nv"] = pdf.groupby("k")["v"].shift(-1)
     pdf["pv"] = pdf.groupby("k")["v"].shift(1)
@@ -98,12 +98,10 @@ def test_triples_match_brute_force(spark):
     r = most_common_triple(df, "b", "item").first()
     assert (r["product_1"], r["product_2"], r["product_3"], r["combo_count"]) == (*top, best)
     third = sorted(brute.values(), reverse=True)[2]
-    for prune_pairs in (True, False):
-        got = {(r["i1"], r["i2"], r["i3"]): r["combo_count"]
-               for r in triple_counts(df, "b", "item", k=3, prune_pairs=prune_pairs).collect()}
-        for t, n in got.items():
-            assert brute[t] == n                             # every reported count is exact
-        assert all(t in got for t, n in brute.items() if n >= third)
+    got = {(r["i1"], r["i2"], r["i3"]): r["combo_count"] for r in triple_counts(df, "b", "item", k=3).collect()}
+    for t, n in got.items():
+        assert brute[t] == n                                 # every reported count is exact
+    assert all(t in got for t, n in brute.items() if n >= third)
 
 
 def test_cleaning_is_idempotent(spark):
@@ -151,7 +149,7 @@ def test_running_total_matches_cumsum(spark):
     rnd = random.Random(11)
     rows = [(0 if rnd.random() < 0.5 else rnd.randrange(1, 15), i, rnd.randrange(-5, 10)) for i in range(1500)]
     df = spark.createDataFrame(rows, "k int, t int, v int")
-    got = {(r["k"], r["t"]): r["s"] for r in running_total(df, ["k"], ["t"], "v", "s", partitions=6).collect()}
+    got = {(r["k"], r["t"]): r["s"] for r in running_total(df, ["k"], ["t"], "v", "s", chunk=F.floor(F.col("t") / 50)).collect()}
     pdf = pd.DataFrame(rows, columns=["k", "t", "v"]).sort_values(["k", "t"])
     pdf["s"] = pdf.groupby("k")["v"].cumsum()
     assert all(got[(r.k, r.t)] == r.s for r in pdf.itertuples())
@@ -183,27 +181,60 @@ def test_inspect_helpers(spark):
     assert sorted(r["price"] for r in u.collect()) == [12, 15, 20]
 
 
-def test_campaign_join_both_strategies(spark):
+def test_campaign_join_equals_the_range_join(spark):
     import __spark_entry__ as se
     from casebook.operators.funnel import attach_campaign
     from casebook.plans import funnel
     v = funnel.views(spark, "/root/testdata/sf0.001")
-    base = se.queries()["cb_13_intended"](spark, "/root/testdata/sf0.001").drop("campaign_name")
-    small = attach_campaign(base, v.campaign_identifier, "left")
-    keyed = attach_campaign(base, v.campaign_identifier, "left", max_broadcast_rows=0)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, keyed.collect()))
+    base = se.queries()["cb_13_intended"](spark, "/root/testdata/sf0.001").drop("campaign_name").withColumn(
+        "visit_start_time", F.col("visit_start_time").cast("timestamp_ntz"))
+    inside = F.col("visit_start_time").between(F.col("start_date"), F.col("end_date"))
+    ranged = base.join(v.campaign_identifier, inside, "left").drop("start_date", "end_date")
+    keyed = attach_campaign(base, v.campaign_identifier, "left")
+    assert sorted(map(repr, keyed.collect())) == sorted(map(repr, ranged.collect()))
+
+
+def test_payment_schedule_has_no_length_limit(spark):
+    from casebook.operators.lifecycle import payment_schedule
+    log = spark.createDataFrame([(1, 1, dt.date(2020, 1, 1))], "customer_id int, plan_id int, start_date date")
+    plans = spark.createDataFrame([(1, "basic", 10)], "plan_id int, plan_name string, price int")
+    for years in (1, 2, 3):
+        paid = payment_schedule(log, plans, dt.date(2020, 1, 1), dt.date(2020 + years, 1, 1), monthly=(1,), annual=(),
+                                upgrade_from=0, upgrade_credit=F.lit(0))
+        assert paid.count() == 12 * years
+
+
+def test_neighbor_across_months_by_default(spark):
+    rows = [(1, dt.date(2020, 1, 1) + dt.timedelta(days=17 * i), i) for i in range(60)]
+    df = spark.createDataFrame(rows, "k int, t date, v int")
+    got = {r["v"]: r["nv"] for r in neighbor(df, ["k"], ["t"], "v", "nv").collect()}
+    assert got == {i: i + 1 if i < 59 else None for i in range(60)}
+
+
+def test_value_chunk_keeps_the_order(spark):
+    from casebook.operators.quantile import value_chunk
+    vals = [-1e300, -5.0, -1.0, -1e-300, 0.0, 1e-300, 0.5, 1.0, 1.001, 2.0, 1e9, 1e300]
+    df = spark.createDataFrame([(v,) for v in vals], "v double").orderBy("v").select(value_chunk(F.col("v")).alias("c"))
+    chunks = [r["c"] for r in df.collect()]
+    assert chunks == sorted(chunks)
+
+
+def test_week_text_with_two_or_four_digit_years(spark):
+    from casebook.plans.mart import week_date
+    df = spark.createDataFrame([("31/8/20",), ("31/8/2020",), ("x",), (None,)], "d string")
+    assert [r[0] for r in df.select(week_date(F.col("d"))).collect()] == [dt.date(2020, 8, 31)] * 2 + [None] * 2
 
 
 def test_chunked_operators_with_a_single_key(spark):
     from casebook.operators.sequence import running_total
     rows = [(1, i, i % 7) for i in range(500)]
     df = spark.createDataFrame(rows, "k int, t int, v int")
-    nxt = {r["t"]: r["nv"] for r in neighbor(df, ["k"], ["t"], "v", "nv", "next", partitions=9).collect()}
+    nxt = {r["t"]: r["nv"] for r in neighbor(df, ["k"], ["t"], "v", "nv", "next", chunk=F.floor(F.col("t") / 50)).collect()}
     assert all(nxt[i] == (i + 1) % 7 for i in range(499)) and nxt[499] is None
-    run = {r["t"]: r["s"] for r in running_total(df, ["k"], ["t"], "v", "s", partitions=9).collect()}
+    run = {r["t"]: r["s"] for r in running_total(df, ["k"], ["t"], "v", "s", chunk=F.floor(F.col("t") / 50)).collect()}
     assert run[499] == sum(i % 7 for i in range(500))
     same = spark.createDataFrame([(3,)] * 200, "v int")
-    r = ordinal_pick(same, "v", {"m": rank_floor(1, 2)}, partitions=9).first()
+    r = ordinal_pick(same, "v", {"m": rank_floor(1, 2)}).first()
     assert r["m"] == 3
 
 
@@ -213,7 +244,7 @@ def test_neighbors_both_directions_in_one_pass(spark):
     rows = [(0 if rnd.random() < 0.5 else rnd.randrange(1, 9), i, rnd.randrange(50)) for i in range(1200)]
     df = spark.createDataFrame(rows, "k int, t int, v int")
     got = {(r["k"], r["t"]): (r["n"], r["p"])
-           for r in neighbors(df, ["k"], ["t"], "v", next_out="n", prev_out="p", partitions=5).collect()}
+           for r in neighbors(df, ["k"], ["t"], "v", next_out="n", prev_out="p", chunk=F.floor(F.col("t") / 50)).collect()}
     pdf = pd.DataFrame(rows, columns=["k", "t", "v"]).sort_values(["k", "t"])
     pdf["n"] = pdf.groupby("k")["v"].shift(-1)
     pdf["p"] = pdf.groupby("k")["v"].shift(1)
@@ -249,12 +280,12 @@ def test_chunked_operators_keep_a_null_key(spark):
     from casebook.operators.sequence import running_total
     rows = [(None, i, i) for i in range(40)] + [(1, i, 1) for i in range(40)]
     df = spark.createDataFrame(rows, "k int, t int, v int")
-    nxt = {(r["k"], r["t"]): r["nv"] for r in neighbor(df, ["k"], ["t"], "v", "nv", "next", partitions=6).collect()}
+    nxt = {(r["k"], r["t"]): r["nv"] for r in neighbor(df, ["k"], ["t"], "v", "nv", "next", chunk=F.floor(F.col("t") / 50)).collect()}
     assert all(nxt[(None, i)] == i + 1 for i in range(39)) and nxt[(None, 39)] is None
-    run = {(r["k"], r["t"]): r["s"] for r in running_total(df, ["k"], ["t"], "v", "s", partitions=6).collect()}
+    run = {(r["k"], r["t"]): r["s"] for r in running_total(df, ["k"], ["t"], "v", "s", chunk=F.floor(F.col("t") / 50)).collect()}
     assert run[(None, 39)] == sum(range(40)) and run[(1, 39)] == 40
     g = spark.createDataFrame([(None, v) for v in range(10)] + [("a", v) for v in range(5)], "g string, v int")
-    got = {r["g"]: r["m"] for r in ordinal_pick(g, "v", {"m": rank_floor(1, 2)}, by=["g"], partitions=4).collect()}
+    got = {r["g"]: r["m"] for r in ordinal_pick(g, "v", {"m": rank_floor(1, 2)}, by=["g"]).collect()}
     assert got == {None: 4, "a": 1}
 
 
@@ -267,8 +298,7 @@ def test_ordinal_pick_property(spark):
            st.integers(1, 99))
     def check(rows, pct):
         df = spark.createDataFrame(rows, "g int, v int")
-        got = {r["g"]: r["q"] for r in ordinal_pick(df, "v", {"q": rank_ceil(pct, 100)}, by=["g"],
-                                                     partitions=3).collect()}
+        got = {r["g"]: r["q"] for r in ordinal_pick(df, "v", {"q": rank_ceil(pct, 100)}, by=["g"]).collect()}
         for g in {r[0] for r in rows}:
             s = sorted(v for k, v in rows if k == g)
             r = -(-len(s) * pct // 100)
