@@ -166,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", text_col
               .where("__y is not null and __id is not null").where(F.crc32(F.col("__id").cast("string")) % folds != 0)
               .orderBy(F.xxhash64("__id"), "__id", "__y").limit(train_rows))
     # at most train_rows rows of two numbers
-    train = docs.join(F.broadcast(sample), F.col(id_col) == F.col("__id")).select("__id", "__y", F.col(text_col).alias("__text"))
+    train = docs.select(id_col, text_col).join(F.broadcast(sample), F.col(id_col) == F.col("__id")).select("__id", "__y", F.col(text_col).alias("__text"))
     stats, names = statistics(train, "__text", keep=("__id", "__y"))
     rows = stats.toPandas().sort_values(["__id", "__y", *names])
     if not len(rows):

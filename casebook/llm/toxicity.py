@@ -272,7 +272,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", text_col:
               .where("__y is not null and __id is not null").where(F.crc32(F.col("__id").cast("string")) % folds != 1)
               .orderBy(F.xxhash64("__id"), "__id", "__y").limit(train_rows))
     # at most train_rows rows of two numbers
-    train = (docs.join(F.broadcast(sample), F.col(id_col) == F.col("__id"))
+    train = (docs.select(id_col, text_col).join(F.broadcast(sample), F.col(id_col) == F.col("__id"))
              .select((F.col("__y") > 0).cast("int").alias("y"), F.col(text_col).cast("binary").alias("t")))
     lexicon = _lexicon(train, least_ratio, least_rate, weak_rate, most_patterns)
     # at most train_rows rows of a few numbers
