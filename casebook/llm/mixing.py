@@ -154,7 +154,7 @@ _RE = r"[^\x20\x09-\x0D]+"
 ORACLE_SQL = rf"""
 with d as (
   select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '{_RE}')), 0) as bigint) as size,
-         md5(coalesce(cast(doc_id as varchar), '')) as key
+         md5(coalesce(cast(doc_id as varchar), '')) as key, row_number() over () as rn
   from documents),
 s as (
   select source, cast(sum(size) as bigint) as source_size,
@@ -177,9 +177,9 @@ turns as (
   select *, case when target > 0 then (source_size * p + upto)::double / target else 0 end as f
   from q, (values (0), (1)) as turn(p) where size > 0),
 kept as (
-  select doc_id, key, sk, size, p, sum(size) over (order by f, sk, p, key, doc_id, size rows unbounded preceding) <= budget as ok
+  select rn, size, sum(size) over (order by f, sk, p, key, doc_id, size rows unbounded preceding) <= budget as ok
   from turns),
-per as (select doc_id, key, sk, sum(case when ok then size else 0 end) as taken from kept group by all)
+per as (select rn, sum(case when ok then size else 0 end) as taken from kept group by rn)
 select q.doc_id, q.size, q.source_size, q.target, cast(coalesce(per.taken, 0) as bigint) as taken
-from q left join per on q.doc_id is not distinct from per.doc_id and q.sk = per.sk
+from q left join per using (rn)
 """

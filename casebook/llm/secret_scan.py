@@ -61,13 +61,31 @@ _CHAIN = {
 }
 
 
+_BLOCK = 256  # matches whose places are summed up at once
+_NO_SPANS = "cast(array() as array<struct<start:bigint,kind:int,end:bigint,m:string>>)"
+
+
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is read."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _pairs(text: Column, pattern: str, group: int = 0) -> Column:
+    """Array of (gap, match, group of the match); the last one is the text's
+    rest, with null for the match."""
+    return F.arrays_zip(F.split(text, pattern, -1).alias("g"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"),
+                        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("v"))
+
+
 def _spans(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
     """Array of (start, kind, end, match) of the pattern's leftmost
-    non-overlapping matches whose ``group`` has ``least`` characters."""
-    found = F.arrays_zip(F.split(text, pattern, -1).alias("g"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"),
-                         F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("v"))
-    found = F.filter(found, lambda x: x["m"].isNotNull())
-    empty = F.expr("struct(0L as pos, cast(array() as array<struct<start:bigint,kind:int,end:bigint,m:string>>) as out)")
+    non-overlapping matches whose ``group`` has ``least`` characters.
+
+    Places are running sums, taken within blocks of matches and then over the
+    blocks, so that a text with very many matches stays affordable."""
+    def blocks(found: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / _BLOCK).cast("int")),
+                           lambda i: F.slice(found, i * _BLOCK + 1, F.lit(_BLOCK)))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["pos"] + F.length(x["g"])
@@ -76,8 +94,16 @@ def _spans(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0
         out = F.when(F.length(x["v"]) >= least, F.concat(acc["out"], F.array(one))).otherwise(acc["out"])
         return F.struct(end.alias("pos"), out.alias("out"))
 
-    none = F.expr("cast(array() as array<struct<start:bigint,kind:int,end:bigint,m:string>>)")
-    return F.when(F.regexp(text, F.lit(pattern)), F.aggregate(found, empty, step, lambda a: a["out"])).otherwise(none)
+    def placed(inner: Column) -> Column:
+        starts = F.aggregate(inner, F.expr("struct(0L as pos, cast(array() as array<bigint>) as out)"),
+                             lambda acc, b: F.struct((acc["pos"] + b["pos"]).alias("pos"), F.concat(acc["out"], F.array(acc["pos"])).alias("out")),
+                             lambda acc: acc["out"])
+        return F.flatten(F.zip_with(inner, starts, lambda b, at: F.transform(b["out"], lambda x: F.struct(
+            (x["start"] + at).alias("start"), x["kind"].alias("kind"), (x["end"] + at).alias("end"), x["m"].alias("m")))))
+
+    found = F.filter(_pairs(text, pattern, group), lambda x: x["m"].isNotNull())
+    inner = F.transform(_bind(found, blocks), lambda b: F.aggregate(b, F.expr(f"struct(0L as pos, {_NO_SPANS} as out)"), step))
+    return F.when(F.regexp(text, F.lit(pattern)), _bind(inner, placed)).otherwise(F.expr(_NO_SPANS))
 
 
 def _tail(z: Column) -> Column:
@@ -103,11 +129,11 @@ def _battery(m: Column) -> Column:
     classes = F.translate(F.regexp_replace(F.regexp_replace(F.regexp_replace(body, "[a-z]", "l"), "[A-Z]", "u"), "[0-9]", "d"), "+/", "ss")
     size = _per_encoding(enc, lambda e: F.lit(float(len(_ALPHABETS[e]))))
     first = F.struct(body.alias("body"), classes.alias("cls"), enc.alias("enc"), size.alias("size"), alphabet.alias("abc"),
-                     F.length(body).cast("double").alias("n"))
+                     F.length(body).cast("double").alias("n"), F.filter(F.split(body, ""), lambda c: c != "").alias("chars"))
 
     def tests(t: Column) -> Column:
         n, size = t["n"], t["size"]
-        chars = F.filter(F.split(t["body"], ""), lambda c: c != "")
+        chars = t["chars"]
         squares = F.aggregate(F.array_distinct(chars), F.lit(0.0),
                               lambda a, c: a + F.pow(n - F.length(F.replace(t["body"], c, F.lit(""))), F.lit(2.0)))
         chi, dof = size / n * squares - n, size - 1
@@ -115,21 +141,28 @@ def _battery(m: Column) -> Column:
         # runs of one class against the rest
         one = F.when(t["enc"].isin("hex", "hexu", "b32"), F.translate(t["cls"], "lus", "xxx")).otherwise(F.translate(t["cls"], "uds", "xxx"))
         n0 = F.length(F.replace(one, F.lit("x"), F.lit(""))).cast("double")
-        n1 = n - n0
         runs = 1 + F.regexp_count(one, F.lit("(?<=x)[^x]|(?<=[^x])x"))
-        prod = 2 * n0 * n1
-        var = prod * (prod - n) / (n * n * (n - 1))
-        z_runs = F.when(var > 0, F.abs(runs - prod / n - 1) / F.sqrt(var)).otherwise(F.lit(99.0))
+
+        def z_of_runs(a: Column) -> Column:
+            prod = 2 * a["n0"] * (n - a["n0"])
+            var = prod * (prod - n) / (n * n * (n - 1))
+            return F.when(var > 0, F.abs(a["runs"] - prod / n - 1) / F.sqrt(var)).otherwise(F.lit(99.0))
+        z_runs = _bind(F.struct(n0.alias("n0"), runs.alias("runs")), z_of_runs)
         # serial correlation
         places = F.transform(chars, lambda c: F.instr(t["abc"], c).cast("double"))
-        mean = F.aggregate(places, F.lit(0.0), lambda a, x: a + x) / n
-        dev = F.transform(places, lambda x: x - mean)
-        total = F.aggregate(dev, F.lit(0.0), lambda a, x: a + x * x)
-        lag = F.aggregate(F.zip_with(F.slice(dev, F.lit(1), F.greatest(F.size(dev) - 1, F.lit(0))),
-                                     F.slice(dev, F.lit(2), F.greatest(F.size(dev) - 1, F.lit(0))), lambda x, y: x * y),
-                          F.lit(0.0), lambda a, x: a + x)
-        z_lag = F.when(total > 0, F.abs(lag / total + 1 / n) * F.sqrt(n)).otherwise(F.lit(99.0))
-        p = F.least(F.lit(1.0), 3 * F.least(_tail(z_chi), 2 * _tail(z_runs), 2 * _tail(z_lag)))
+        # sums of x, x^2, x y over neighbours, and the first and last place
+        sums = F.aggregate(places, F.expr("struct(0D as x, 0D as xx, 0D as xy, cast(null as double) as first, cast(null as double) as last)"),
+                           lambda a, x: F.struct((a["x"] + x).alias("x"), (a["xx"] + x * x).alias("xx"),
+                                                 (a["xy"] + F.coalesce(a["last"] * x, F.lit(0.0))).alias("xy"),
+                                                 F.coalesce(a["first"], x).alias("first"), x.alias("last")))
+
+        def lagged(a: Column) -> Column:
+            mean = a["x"] / n
+            total = a["xx"] - n * mean * mean
+            lag = a["xy"] - mean * (2 * a["x"] - a["first"] - a["last"]) + (n - 1) * mean * mean
+            return F.when(total > 1e-9, F.abs(lag / total + 1 / n) * F.sqrt(n)).otherwise(F.lit(99.0))
+        z_lag = _bind(sums, lagged)
+        p = F.least(F.lit(1.0), 3 * F.least(_bind(z_chi, _tail), 2 * _bind(z_runs, _tail), 2 * _bind(z_lag, _tail)))
         import math
         evidence = F.lit(0.0)
         for a, row in _CHAIN.items():
@@ -138,8 +171,18 @@ def _battery(m: Column) -> Column:
                 evidence = evidence + F.regexp_count(t["cls"], F.lit(f"(?<={a}){b}")) * gain
         return F.struct(p.alias("p"), evidence.alias("e"))
 
-    # through a one-element array, so that each part is computed once
-    return F.element_at(F.transform(F.array(first), tests), 1)
+    return _bind(first, tests)
+
+
+_IS_BASE = f"^(?:{HEX}|{ACCESS})$"
+
+
+def _least_evidence(tested: Column, min_p: float, q: float) -> Column:
+    """The e-BH rule over a document's tests (array of (p, e), null for what
+    is no candidate): the least log evidence that is kept; null for none."""
+    n = F.size(F.filter(tested, lambda b: b.isNotNull()))
+    strong = F.sort_array(F.transform(F.filter(tested, lambda b: b["p"] >= min_p), lambda b: b["e"]), asc=False)
+    return F.array_min(F.transform(strong, lambda e, i: F.when(e >= F.log(n / ((i + 1) * F.lit(q))), e)))
 
 
 def find_secrets(df: DataFrame, text_col: str = "text", out_col: str = "found", min_p: float = 0.001,
@@ -148,13 +191,10 @@ def find_secrets(df: DataFrame, text_col: str = "text", out_col: str = "found",
     and kind (index into KINDS); code points, end exclusive; ``m`` the text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = F.concat(_spans(text, ASSIGN, 0, 2, 12), _spans(text, ACCESS, 1), _spans(text, HEX, 2))
-    tokens = F.filter(_spans(text, TOKEN, 3), lambda x: ~F.regexp(x["m"], F.lit(f"^(?:{HEX}|{ACCESS})$")))
+    tokens = F.filter(_spans(text, TOKEN, 3), lambda x: ~F.regexp(x["m"], F.lit(_IS_BASE)))
     tested = F.transform(tokens, lambda x: F.struct(x.alias("x"), _battery(x["m"]).alias("b")))
     out = df.withColumn("__base", base).withColumn("__tested", tested)
-    # e-BH over the document's tokens
-    strong = F.array_sort(F.transform(F.filter("__tested", lambda t: t["b"]["p"] >= min_p), lambda t: -t["b"]["e"]))
-    ranked = F.transform(strong, lambda e, i: F.when(-e >= F.log(F.size("__tested") / ((i + 1) * F.lit(q))), -e))
-    out = out.withColumn("__least", F.array_min(ranked))
+    out = out.withColumn("__least", _least_evidence(F.transform("__tested", lambda t: t["b"]), min_p, q))
     added = F.transform(F.filter("__tested", lambda t: (t["b"]["p"] >= min_p) & (t["b"]["e"] >= F.col("__least"))), lambda t: t["x"])
     return (out.withColumn(out_col, F.sort_array(F.concat("__base", added)))
             .drop("__base", "__tested", "__least"))
@@ -174,24 +214,31 @@ def scan_digest(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -
                         _joined(F.col("found")).alias("spans"))
 
 
-def redact(df: DataFrame, text_col: str = "text", mask: str = "[SECRET]", **options) -> DataFrame:
-    """``df`` with every found span of ``text_col`` replaced by ``mask``;
-    overlapping and touching spans are replaced once. Null stays null."""
-    found = find_secrets(df, text_col, "__found", **options)
-    seed = F.expr("struct(0L as pos, cast(array() as array<string>) as out)")
+def redact(df: DataFrame, text_col: str = "text", mask: str = "[SECRET]", min_p: float = 0.001, q: float = 0.01) -> DataFrame:
+    """``df`` with secrets of ``text_col`` replaced by ``mask``, rule after
+    rule on what the rules before have left: assignments, access ids, hex
+    runs, then random tokens. Null stays null. Each rule rebuilds the text
+    from its gaps and matches once, so the cost grows with the length."""
     text = F.col(text_col)
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, acc["pos"].cast("int") + 1, (s["start"] - acc["pos"]).cast("int"))
-        piece = F.when(s["start"] > acc["pos"], F.array(gap, F.lit(mask))).when(acc["pos"] == 0, F.array(F.lit(mask)))
-        return F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"),
-                        F.concat(acc["out"], F.coalesce(piece, F.array().cast("array<string>"))).alias("out"))
-
-    def end(acc: Column) -> Column:
-        return F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["pos"].cast("int") + 1, 2147483647))
-
-    masked = F.aggregate("__found", seed, step, end)
-    return found.withColumn(text_col, F.when(F.size("__found") > 0, masked).otherwise(text)).drop("__found")
+    rest = F.coalesce(text, F.lit(""))
+    pieces = F.transform(_pairs(rest, ASSIGN, 2), lambda x: F.concat(
+        x["g"], F.when(F.length(x["v"]) >= 12, F.lit(mask)).otherwise(F.coalesce(x["m"], F.lit("")))))
+    rest = F.when(F.regexp(rest, F.lit(ASSIGN)), F.array_join(pieces, "")).otherwise(rest)
+    rest = F.regexp_replace(F.regexp_replace(rest, ACCESS, _literal(mask)), HEX, _literal(mask))
+    out = df.withColumn("__rest", rest)
+    candidates = F.transform(_pairs(F.col("__rest"), TOKEN), lambda x: F.struct(
+        x["g"].alias("g"), x["m"].alias("m"), F.when(x["m"].isNotNull() & ~F.regexp(x["m"], F.lit(_IS_BASE)), _battery(x["m"])).alias("b")))
+    out = out.withColumn("__tested", F.when(F.regexp("__rest", F.lit(TOKEN)), candidates))
+    out = out.withColumn("__least", _least_evidence(F.transform("__tested", lambda t: t["b"]), min_p, q))
+    last = F.array_join(F.transform("__tested", lambda t: F.concat(
+        t["g"], F.when((t["b"]["p"] >= min_p) & (t["b"]["e"] >= F.col("__least")), F.lit(mask)).otherwise(F.coalesce(t["m"], F.lit(""))))), "")
+    masked = F.when(F.col("__tested").isNotNull(), last).otherwise(F.col("__rest"))
+    return out.withColumn(text_col, F.when(text.isNotNull(), masked)).drop("__rest", "__tested", "__least")
+
+
+def _literal(mask: str) -> str:
+    """A mask as a regexp replacement."""
+    return mask.replace("\\", "\\\\").replace("$", "\\$")
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,11 +37,11 @@ class BoundTile:
 
     def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int):
         self.ids, self.queries, self.k = ids, queries, k
-        self.q, self.c, self.s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.q, self.c, self.s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _keep(self, q: np.ndarray, c: np.ndarray, s: np.ndarray) -> None:
         self.q, self.c, self.s = _tiles.merge_best(np.concatenate([self.q, q]), np.concatenate([self.c, c]),
-                                                   np.concatenate([self.s, s]), self.k)
+                                                   np.concatenate([self.s, s.astype(np.int64)]), self.k)
 
     def _full(self, ids: np.ndarray, cands: np.ndarray) -> None:
         score = self.queries @ cands.T
@@ -53,7 +53,6 @@ class BoundTile:
         to_long = lambda m: np.where(m >= 2.0 ** 63, np.iinfo(np.int64).max, np.clip(m, -2.0 ** 63, 2.0 ** 62 * 1.99)).astype(np.int64)
         score = to_long(self.queries) @ to_long(cands).T
         q, c = np.nonzero(self.ids[:, None] != ids)
-        self.s = self.s.astype(np.int64)
         self._keep(q, ids[c], score[q, c])
 
     def add(self, ids: np.ndarray, cands: np.ndarray) -> None:
@@ -70,6 +69,7 @@ class BoundTile:
                 self._full(ids, cands)
             return
         least = _tiles.kth_best(self.q, self.s, len(self.ids), self.k)
+        least = np.where(np.abs(least) >= _EXACT, least - np.abs(least) * 1e-15, least)  # rounded as a double
         order = np.argsort(-(cands ** 2).sum(axis=0), kind="stable")
         step = max(8, -(-width // 6))
         dims = [order[a:a + step] for a in range(0, width, step)]
