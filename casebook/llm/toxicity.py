@@ -191,7 +191,7 @@ class Grammar:
 
 
 #: Without labels: aimed clauses weigh most, negated and reported ones little.
-_PRIOR = (2.0, 3.0, 2.0, 3.0, 0.0, 0.0, 0.0, 0.0) + (0.0,) * 8 + (0.5, 0.5, 0.5, 0.5, 0.0, 0.0, 0.0, 0.0)
+_PRIOR = (2.0, 4.0, 2.0, 4.0, 0.0, 0.0, 0.0, 0.0) + (0.0,) * 8 + (0.5, 0.5, 0.5, 0.5, 0.0, 0.0, 0.0, 0.0)
 
 
 def _text(value: pa.Scalar) -> str:
