@@ -42,6 +42,7 @@ SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit, bits
 _GENERATOR = 0xC75        # x^11+x^10+x^6+x^5+x^4+x^2+1 of the Golay code
 _PIECE = 2048             # fingerprints of one key compared at once
 _SHINGLES = 1 << 17       # hashes summed at once
+_SALTS = 32               # parts of a class when its id is handed back
 
 
 # -- fingerprints ------------------------------------------------------------
@@ -311,10 +312,15 @@ def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
     docs = checkpointed(fingerprints(df, text_col, id_col, words))
     fps = checkpointed(docs.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = classes(links(fps, bits))
-    named = (fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-             .select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = checkpointed(named.select("fp", "root").join(least, "root"))
+    named = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", "root")
+    # a class may hold a third of all fingerprints: its smallest id is summed
+    # up before the shuffle and comes back to them in _SALTS parts
+    linked = named.where("root is not null").withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(_SALTS)))
+    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    least = least.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))))
+    linked = linked.join(least, ["root", "salt"]).select("fp", "root", "component_id")
+    alone = named.where("root is null").select("fp", F.col("fp").alias("root"), F.col("least").alias("component_id"))
+    named = checkpointed(linked.union(alone))
     return docs.join(named, "fp").select("doc_id", "fp", "th", "root", "component_id")
 
 
