@@ -28,20 +28,22 @@ def _date(c) -> F.Column:
 
 
 def _lookup(df: DataFrame, key: str, cols: list[str], alias_key: str | None = None) -> DataFrame:
-    """One row per ``key`` with ``cols`` (max on a duplicated key), for a
-    LEFT join from the fact side. Because the right side is grouped on the
+    """One row per ``key`` with ``cols`` (on a duplicated key the largest row,
+    compared column by column, never a mix of rows), for a LEFT join from the fact side. Because the right side is grouped on the
     join key, Catalyst drops the whole join from any query that uses none
     of ``cols``: a study query that never reads, say, the member flag does
     not pay for joining lineitem with orders."""
-    return df.groupBy(F.col(key).alias(alias_key or key)).agg(*[F.max(c).alias(c) for c in cols])
+    one = F.max(cols[0]) if len(cols) == 1 else F.max(F.struct(*cols))
+    per = df.groupBy(F.col(key).alias(alias_key or key)).agg(one.alias(cols[0] if len(cols) == 1 else "_row"))
+    return per if len(cols) == 1 else per.select(alias_key or key, *[F.col(f"_row.{c}").alias(c) for c in cols])
 
 
 class LazyViews:
     """Namespace of study views built on first access.
 
     A query touches one or two of its study's views; building the others
-    would still cost plan analysis, parquet footer reads and, for views
-    that checkpoint, a job. Each view is a thunk run once when read."""
+    would still cost plan analysis and parquet footer reads. Each view is a
+    thunk run once when read."""
 
     def __init__(self, **thunks):
         self.__dict__["_thunks"] = dict(thunks)
@@ -109,8 +111,8 @@ RETAIL_SQL = {
                cast(cast((cast(round(l.l_extendedprice * 100) as bigint)
                           // cast(l.l_quantity as bigint)) as decimal(18,0)) * 0.01 as decimal(12,2)) as price,
                cast(round(l.l_discount * 100) as integer) as discount,
-               case o.o_orderstatus when 'F' then 't' when 'O' then 'f' end as member
-        from lineitem l left join (select o_orderkey, max(o_orderstatus) as o_orderstatus
+               case o.flag when 1 then 't' when 0 then 'f' end as member
+        from lineitem l left join (select o_orderkey, max(case o_orderstatus when 'F' then 1 when 'O' then 0 end) as flag
                                    from orders group by o_orderkey) o on l.l_orderkey = o.o_orderkey""",
     "bt_product_details": """
         select p_partkey as product_id, p_name as product_name,
@@ -266,7 +268,7 @@ DELIVERY_SQL = {
                  then cast(l.l_partkey % 25 + 1 as varchar) || ', ' || cast((l.l_partkey + 11) % 25 + 1 as varchar)
           end as extras,
           o.o_orderdate + to_minutes(cast((l.l_orderkey * 37) % 1440 as bigint)) as order_time
-        from lineitem l left join (select o_orderkey, max(o_custkey) as o_custkey, max(o_orderdate) as o_orderdate
+        from lineitem l left join (select o_orderkey, unnest(max({'o_custkey': o_custkey, 'o_orderdate': o_orderdate}))
                                    from orders group by o_orderkey) o on l.l_orderkey = o.o_orderkey""",
     "pr_runner_orders_raw": """
         select o_orderkey as order_id, cast(o_custkey % 4 + 1 as integer) as runner_id,
