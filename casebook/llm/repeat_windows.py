@@ -42,9 +42,9 @@ from pyspark.sql import functions as F
 
 from casebook.llm._common import table
 
-_CHUNK = 1 << 21     # bytes worked on at once
-_PIECE = 1 << 20     # windows of a long text taken at once
-_POS_BITS = 23       # places within a chunk and its last piece
+_CHUNK = 1 << 20     # bytes worked on at once
+_PIECE = 1 << 19     # windows of a long text taken at once
+_POS_BITS = 22       # places within a chunk and its last piece
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _U = np.uint64
 
