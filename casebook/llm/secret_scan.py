@@ -62,6 +62,7 @@ _CHAIN = {
 
 
 _BLOCK = 256  # matches whose places are summed up at once
+_PIECE = 1024  # characters of a text that gaps are cut from
 _NO_SPANS = "cast(array() as array<struct<start:bigint,kind:int,end:bigint,m:string>>)"
 
 
@@ -77,16 +78,17 @@ def _pairs(text: Column, pattern: str, group: int = 0) -> Column:
                         F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("v"))
 
 
+def _blocks(found: Column) -> Column:
+    return _bind(found, lambda f: F.transform(F.sequence(F.lit(0), F.floor((F.size(f) - 1) / _BLOCK).cast("int")),
+                                              lambda i: F.slice(f, i * _BLOCK + 1, F.lit(_BLOCK))))
+
+
 def _spans(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
     """Array of (start, kind, end, match) of the pattern's leftmost
     non-overlapping matches whose ``group`` has ``least`` characters.
 
     Places are running sums, taken within blocks of matches and then over the
     blocks, so that a text with very many matches stays affordable."""
-    def blocks(found: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / _BLOCK).cast("int")),
-                           lambda i: F.slice(found, i * _BLOCK + 1, F.lit(_BLOCK)))
-
     def step(acc: Column, x: Column) -> Column:
         start = acc["pos"] + F.length(x["g"])
         end = start + F.length(x["m"])
@@ -102,7 +104,7 @@ def _spans(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0
             (x["start"] + at).alias("start"), x["kind"].alias("kind"), (x["end"] + at).alias("end"), x["m"].alias("m")))))
 
     found = F.filter(_pairs(text, pattern, group), lambda x: x["m"].isNotNull())
-    inner = F.transform(_bind(found, blocks), lambda b: F.aggregate(b, F.expr(f"struct(0L as pos, {_NO_SPANS} as out)"), step))
+    inner = F.transform(_blocks(found), lambda b: F.aggregate(b, F.expr(f"struct(0L as pos, {_NO_SPANS} as out)"), step))
     return F.when(F.regexp(text, F.lit(pattern)), _bind(inner, placed)).otherwise(F.expr(_NO_SPANS))
 
 
@@ -182,7 +184,7 @@ def _least_evidence(tested: Column, min_p: float, q: float) -> Column:
     is no candidate): the least log evidence that is kept; null for none."""
     n = F.size(F.filter(tested, lambda b: b.isNotNull()))
     strong = F.sort_array(F.transform(F.filter(tested, lambda b: b["p"] >= min_p), lambda b: b["e"]), asc=False)
-    return F.array_min(F.transform(strong, lambda e, i: F.when(e >= F.log(n / ((i + 1) * F.lit(q))), e)))
+    return _bind(n, lambda n: F.array_min(F.transform(strong, lambda e, i: F.when(e >= F.log(n / ((i + 1) * F.lit(q))), e))))
 
 
 def find_secrets(df: DataFrame, text_col: str = "text", out_col: str = "found", min_p: float = 0.001,
@@ -194,10 +196,10 @@ def find_secrets(df: DataFrame, text_col: str = "text", out_col: str = "found",
     tokens = F.filter(_spans(text, TOKEN, 3), lambda x: ~F.regexp(x["m"], F.lit(_IS_BASE)))
     tested = F.transform(tokens, lambda x: F.struct(x.alias("x"), _battery(x["m"]).alias("b")))
     out = df.withColumn("__base", base).withColumn("__tested", tested)
-    out = out.withColumn("__least", _least_evidence(F.transform("__tested", lambda t: t["b"]), min_p, q))
-    added = F.transform(F.filter("__tested", lambda t: (t["b"]["p"] >= min_p) & (t["b"]["e"] >= F.col("__least"))), lambda t: t["x"])
-    return (out.withColumn(out_col, F.sort_array(F.concat("__base", added)))
-            .drop("__base", "__tested", "__least"))
+    # bound, as the optimizer would move the rule into the filter, once per token
+    added = _bind(_least_evidence(F.transform("__tested", lambda t: t["b"]), min_p, q), lambda least: F.transform(
+        F.filter("__tested", lambda t: (t["b"]["p"] >= min_p) & (t["b"]["e"] >= least)), lambda t: t["x"]))
+    return out.withColumn(out_col, F.sort_array(F.concat("__base", added))).drop("__base", "__tested")
 
 
 def _joined(spans: Column) -> Column:
@@ -214,31 +216,52 @@ def scan_digest(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -
                         _joined(F.col("found")).alias("spans"))
 
 
+def _kept_text(text: Column, pieces: Column, found: Column, mask: str) -> Column:
+    """``text`` with the union of the spans ``found`` (sorted by start)
+    replaced by ``mask``, overlapping and touching spans once.
+
+    The gap before a span begins at the largest end of the spans before it,
+    taken within blocks of spans and then over the blocks. Gaps are cut from
+    ``pieces`` of _PIECE characters, so the cost grows with the length."""
+    def step(acc: Column, x: Column) -> Column:
+        one = F.struct(acc["pos"].alias("since"), x["start"].alias("start"))
+        return F.struct(F.greatest(acc["pos"], x["end"]).alias("pos"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+    def gaps(inner: Column) -> Column:
+        ends = F.aggregate(inner, F.expr("struct(-1L as pos, cast(array() as array<bigint>) as out)"),
+                           lambda acc, b: F.struct(F.greatest(acc["pos"], b["pos"]).alias("pos"), F.concat(acc["out"], F.array(acc["pos"])).alias("out")),
+                           lambda acc: acc["out"])
+        return F.flatten(F.zip_with(inner, ends, lambda b, at: F.transform(b["out"], lambda x: F.struct(
+            F.greatest(x["since"], at).alias("since"), x["start"].alias("start")))))
+
+    def cut(since: Column, until: Column) -> Column:
+        a, b = F.floor(since / _PIECE).cast("int"), F.floor(until / _PIECE).cast("int")
+        skip = (since - a * F.lit(_PIECE)).cast("int")
+        one = F.substring(F.get(pieces, a), skip + 1, (until - since).cast("int"))
+        head = F.substring(F.get(pieces, a), skip + 1, F.lit(_PIECE))
+        inner = F.when(b > a + 1, F.array_join(F.slice(pieces, a + 2, b - a - 1), "")).otherwise("")
+        last = F.coalesce(F.substring(F.get(pieces, b), F.lit(1), (until - b * F.lit(_PIECE)).cast("int")), F.lit(""))
+        return F.coalesce(F.when(a == b, one).otherwise(F.concat(head, inner, last)), F.lit(""))
+
+    inner = F.transform(_blocks(found), lambda b: F.aggregate(
+        b, F.expr("struct(-1L as pos, cast(array() as array<struct<since:bigint,start:bigint>>) as out)"), step))
+    # a span at the text's begin has a gap of no characters: since is -1 there
+    parts = F.transform(_bind(inner, gaps), lambda x: F.when(
+        x["start"] > x["since"], F.concat(cut(F.greatest(x["since"], F.lit(0)), x["start"]), F.lit(mask))).otherwise(""))
+    rest = cut(F.array_max(F.transform(found, lambda x: x["end"])), F.length(text).cast("bigint"))
+    return F.concat(F.array_join(parts, ""), rest)
+
+
 def redact(df: DataFrame, text_col: str = "text", mask: str = "[SECRET]", min_p: float = 0.001, q: float = 0.01) -> DataFrame:
-    """``df`` with secrets of ``text_col`` replaced by ``mask``, rule after
-    rule on what the rules before have left: assignments, access ids, hex
-    runs, then random tokens. Null stays null. Each rule rebuilds the text
-    from its gaps and matches once, so the cost grows with the length."""
+    """``df`` with every span of ``find_secrets`` in ``text_col`` replaced by
+    ``mask``; overlapping and touching spans are replaced once. Null stays
+    null."""
     text = F.col(text_col)
-    rest = F.coalesce(text, F.lit(""))
-    pieces = F.transform(_pairs(rest, ASSIGN, 2), lambda x: F.concat(
-        x["g"], F.when(F.length(x["v"]) >= 12, F.lit(mask)).otherwise(F.coalesce(x["m"], F.lit("")))))
-    rest = F.when(F.regexp(rest, F.lit(ASSIGN)), F.array_join(pieces, "")).otherwise(rest)
-    rest = F.regexp_replace(F.regexp_replace(rest, ACCESS, _literal(mask)), HEX, _literal(mask))
-    out = df.withColumn("__rest", rest)
-    candidates = F.transform(_pairs(F.col("__rest"), TOKEN), lambda x: F.struct(
-        x["g"].alias("g"), x["m"].alias("m"), F.when(x["m"].isNotNull() & ~F.regexp(x["m"], F.lit(_IS_BASE)), _battery(x["m"])).alias("b")))
-    out = out.withColumn("__tested", F.when(F.regexp("__rest", F.lit(TOKEN)), candidates))
-    out = out.withColumn("__least", _least_evidence(F.transform("__tested", lambda t: t["b"]), min_p, q))
-    last = F.array_join(F.transform("__tested", lambda t: F.concat(
-        t["g"], F.when((t["b"]["p"] >= min_p) & (t["b"]["e"] >= F.col("__least")), F.lit(mask)).otherwise(F.coalesce(t["m"], F.lit(""))))), "")
-    masked = F.when(F.col("__tested").isNotNull(), last).otherwise(F.col("__rest"))
-    return out.withColumn(text_col, F.when(text.isNotNull(), masked)).drop("__rest", "__tested", "__least")
-
-
-def _literal(mask: str) -> str:
-    """A mask as a regexp replacement."""
-    return mask.replace("\\", "\\\\").replace("$", "\\$")
+    out = find_secrets(df, text_col, "__found", min_p, q)
+    some = F.size("__found") > 0
+    out = out.withColumn("__pieces", F.when(some, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PIECE}}}"), F.lit(0))))
+    masked = F.when(some, _kept_text(text, F.col("__pieces"), F.col("__found"), mask)).otherwise(text)
+    return out.withColumn(text_col, masked).drop("__found", "__pieces")
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,3 +76,29 @@ def test_redact_masks_union_of_spans(spark):
                            (4, "0123456789abcdef", "en", "s", 1)])
     got = {r.doc_id: r.text for r in S.redact(df).collect()}
     assert got == {1: "é key [SECRET] end", 2: "clean text", 3: None, 4: "[SECRET]"}
+
+
+def _union_masked(text, spans):
+    out, pos = [], -1
+    for a, b in sorted(spans):
+        if a > pos:
+            out += [text[max(pos, 0):a], "[SECRET]"]
+        pos = max(pos, b)
+    return "".join(out) + text[max(pos, 0):]
+
+
+def test_redact_masks_every_span_of_the_scan(spark):
+    """Overlapping spans, many tokens, and keys that are discoveries only
+    together with assigned ones: what op3 finds is gone, the rest stays."""
+    rnd = random.Random(21)
+
+    def key(n, abc=string.ascii_letters + string.digits):
+        return "".join(rnd.choice(abc) for _ in range(n))
+    texts = ["aa " + key(30) + "0123456789abcdef0123" + key(30) + " é", "AKIA" + key(16, string.ascii_uppercase) + "==" + key(40), "é𝄞" + key(40),
+             "token=" + "deadbeefdeadbeef." * 300 + " x", " ".join(f"é𝄞 token={key(20)} {key(24)}" for _ in range(600))]
+    texts += [" ".join([f"token={key(20)}" for _ in range(9)] + [key(20)] + ["ordinarywordnumber" + "x" * i for i in range(3, 193)]) for _ in range(24)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [(s.start, s.end) for s in r.found] for r in S.find_secrets(df).collect()}
+    got = {r.doc_id: r.text for r in S.redact(df).collect()}
+    assert got == {i: _union_masked(t, found[i]) for i, t in enumerate(texts)}
+    assert len(found[4]) >= 1000 and sum(len(found[i]) > 9 for i in range(5, 29)) > 12
