@@ -1,7 +1,7 @@
 """Operator 3: secret scans with a randomness test battery, native Spark SQL.
 
 Base rules find assignments, access ids and long hexadecimal runs. Besides,
-every maximal token of key-like characters gets an encoding (hex, base32,
+every maximal token of 8 or more key-like characters gets an encoding (hex, base32,
 base62 or base64, the smallest alphabet that holds it) and three tests of the
 hypothesis that its symbols are independent and uniform over that alphabet:
 
@@ -16,7 +16,9 @@ false discoveries are controlled by length: the evidence against ordinary
 text is the likelihood ratio of the uniform alphabet to a Markov chain over
 character classes of words, identifiers and numbers. It is an e-value (its
 mean is at most 1 under that chain) and grows with the length. Within each
-document the e-BH rule keeps the k largest with evidence >= tokens / (k q).
+document and band of lengths (8, 12, 16, and 20 characters or more) the e-BH
+rule keeps the k largest with evidence >= tokens / (k q). The many words of 8
+letters so do not raise the cut of long keys; q holds within each band.
 
 Positions come from ``split`` and ``regexp_extract_all`` on the same pattern:
 gaps and matches alternate, so their code-point lengths add up to the spans.
@@ -38,7 +40,14 @@ ASSIGN = (r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["'
 #: enough or not, so the runs found are the same as by filtering afterwards.
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
-TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
+#: From 8 characters on, the evidence of a random base62 token reaches
+#: log(1/q) on average (0.67 a character at q = 0.01); a shorter one is no candidate.
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{8,}={0,2}"
+#: Least lengths of the bands of tokens that e-BH judges each by itself.
+BANDS = (8, 12, 16, 20)
+#: Tokens that no cut can keep: all of one class (no runs to test, p = 0) or
+#: a capitalized word (negative evidence). They count, but need no tests.
+PLAIN = r"^(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)=*$"
 KINDS = ("assign", "access", "hex", "random")
 
 _ALPHABETS = {
@@ -194,11 +203,16 @@ def find_secrets(df: DataFrame, text_col: str = "text", out_col: str = "found",
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = F.concat(_spans(text, ASSIGN, 0, 2, 12), _spans(text, ACCESS, 1), _spans(text, HEX, 2))
     tokens = F.filter(_spans(text, TOKEN, 3), lambda x: ~F.regexp(x["m"], F.lit(_IS_BASE)))
-    tested = F.transform(tokens, lambda x: F.struct(x.alias("x"), _battery(x["m"]).alias("b")))
+    tested = F.transform(tokens, lambda x: F.struct(x.alias("x"), F.when(F.regexp(x["m"], F.lit(PLAIN)), F.expr("struct(0D as p, 0D as e)"))
+                                                    .otherwise(_battery(x["m"])).alias("b"), F.length(F.regexp_replace(x["m"], "=+$", "")).alias("n")))
     out = df.withColumn("__base", base).withColumn("__tested", tested)
-    # bound, as the optimizer would move the rule into the filter, once per token
-    added = _bind(_least_evidence(F.transform("__tested", lambda t: t["b"]), min_p, q), lambda least: F.transform(
-        F.filter("__tested", lambda t: (t["b"]["p"] >= min_p) & (t["b"]["e"] >= least)), lambda t: t["x"]))
+    def kept(band: Column) -> Column:
+        # bound, as the optimizer would move the rule into the filter, once per token
+        return _bind(_least_evidence(F.transform(band, lambda t: t["b"]), min_p, q), lambda least: F.transform(
+            F.filter(band, lambda t: (t["b"]["p"] >= min_p) & (t["b"]["e"] >= least)), lambda t: t["x"]))
+
+    bands = [F.filter("__tested", lambda t: (t["n"] >= low) & (t["n"] < high)) for low, high in zip(BANDS, [*BANDS[1:], 1 << 31])]  # noqa: B023
+    added = F.concat(*[_bind(band, kept) for band in bands])
     return out.withColumn(out_col, F.sort_array(F.concat("__base", added))).drop("__base", "__tested")
 
 

@@ -102,3 +102,22 @@ def test_redact_masks_every_span_of_the_scan(spark):
     got = {r.doc_id: r.text for r in S.redact(df).collect()}
     assert got == {i: _union_masked(t, found[i]) for i, t in enumerate(texts)}
     assert len(found[4]) >= 1000 and sum(len(found[i]) > 9 for i in range(5, 29)) > 12
+
+
+def test_short_random_keys(spark):
+    """Keys of 12 to 19 characters are found alone and among words, and
+    masked; words and identifiers of any length are not."""
+    rnd = random.Random(12)
+    keys = ["".join(rnd.choice(string.ascii_letters + string.digits) for _ in range(n)) for n in range(12, 20) for _ in range(40)]
+    words = "Ordinary documentation sentences frequently containing somewhat longish expressions, responsibilities and characteristics 20240101 COVID-19 README "
+    texts = [f"é {k} " for k in keys] + [f"é {k} " + words for k in keys] + [words * 40, "camelCaseNames snake_case_name iPhone7Plus 2024-01-01 and/or/neither"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in S.scan_digest(df).collect()}
+    got = {r.doc_id: r.text for r in S.redact(df).collect()}
+    n = len(keys)
+    hit = [[f"random:2:{2 + len(k)}" in spans[at + i] for i, k in enumerate(keys)] for at in (0, n)]
+    for at in (0, n):
+        assert all((k not in got[at + i]) == h for i, (k, h) in enumerate(zip(keys, hit[at // n])))
+    assert sum(hit[0]) > 0.8 * n and sum(hit[1]) > 0.6 * n
+    assert sum(hit[0][160:200]) >= 30  # 16 characters
+    assert spans[2 * n] == spans[2 * n + 1] == ""
