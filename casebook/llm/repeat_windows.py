@@ -25,7 +25,7 @@ No task holds more than a chunk of text and a few arrays of its length; long
 texts are cut into overlapping pieces. Nothing is collected on the driver.
 
 Defined cases: a null text is the empty text; a text shorter than ``length``
-loses nothing; rows are told apart by id and text hash, so rows that repeat an
+loses nothing; rows are told apart by id and 64-bit text hash, so rows that repeat an
 id are judged each by its text, and rows that repeat id and text are copies of
 each other; a null id is an id; an empty table gives an empty result; no other
 column is read.
@@ -163,17 +163,17 @@ def _run_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 extra[first] = False
                 ends = np.append(first[1:], len(g)) - first - 1
                 offsets = np.concatenate([[0], np.cumsum(ends)])
-                more = pa.StructArray.from_arrays([doc.take(pa.array(text[extra])), pa.array(th[text[extra]], pa.int32()), pa.array(pos[extra])],
+                more = pa.StructArray.from_arrays([doc.take(pa.array(text[extra])), pa.array(th[text[extra]], pa.int64()), pa.array(pos[extra])],
                                                   names=["doc", "th", "pos"])
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), more)
                 for at in range(0, len(first), most):
                     f = first[at:at + most]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(g[f]), pa.array(w[f]), doc.take(pa.array(text[f])), pa.array(th[text[f]], pa.int32()), pa.array(pos[f]),
+                        [pa.array(g[f]), pa.array(w[f]), doc.take(pa.array(text[f])), pa.array(th[text[f]], pa.int64()), pa.array(pos[f]),
                          lists.slice(at, len(f))], names=["gram", "run", "doc", "th", "pos", "more"])
 
     assert length - gram < 1 << 16
-    return docs.mapInArrow(run, f"gram bigint, run bigint, doc {kind}, th int, pos bigint, more array<struct<doc:{kind},th:int,pos:bigint>>")
+    return docs.mapInArrow(run, f"gram bigint, run bigint, doc {kind}, th bigint, pos bigint, more array<struct<doc:{kind},th:bigint,pos:bigint>>")
 
 
 def _window_rows(docs: DataFrame, length: int) -> DataFrame:
@@ -208,17 +208,18 @@ def _window_rows(docs: DataFrame, length: int) -> DataFrame:
         if waiting:
             yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
 
-    return docs.mapInArrow(batched, f"h bigint, c int, doc {kind}, th int, s bigint, want boolean")
+    return docs.mapInArrow(batched, f"h bigint, c int, doc {kind}, th bigint, s bigint, want boolean")
 
 
 def _rows(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return df.select(F.col(id_col).alias("doc"), F.hash(text).alias("th"), text.cast("binary").alias("t"))
+    return df.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("th"), text.cast("binary").alias("t"))
 
 
 def repeated_starts(df: DataFrame, length: int = 400, gram: int = 224, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(doc, th, starts): per row with a repeated window, the runs of starts
-    of repeated windows (array of place << 16 | windows - 1)."""
+    of repeated windows (array of place << 16 | windows - 1, each place once,
+    however many copies of the row there are)."""
     docs = _rows(df, text_col, id_col)
     same_run, same_gram = Window.partitionBy("gram", "run"), Window.partitionBy("gram")
     c = (_run_rows(docs.where(F.length("t") >= length), length, gram).repartition("gram")
@@ -232,10 +233,11 @@ def repeated_starts(df: DataFrame, length: int = 400, gram: int = 224, text_col:
               .groupBy("doc", "th").agg(F.collect_list(F.struct("pos", (F.col("n_run") == 1).alias("want"))).alias("listed"))
               .select(F.col("doc").alias("d"), F.col("th").alias("h"), "listed"))
     texts = docs.join(listed, F.col("doc").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h")))
-    windows = _window_rows(texts.select("doc", "th", "t", "listed"), length).repartition("h")
+    texts = texts.select("doc", "th", "t", "listed").dropDuplicates(["doc", "th"])  # a run of copies is not wanted, so one copy's windows do
+    windows = _window_rows(texts, length).repartition("h")
     parts = (windows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("h", "c"))).where("n > 1 and want")
              .select("doc", "th", F.shiftleft("s", 16).alias("pos")))
-    return whole.union(parts).groupBy("doc", "th").agg(F.collect_list("pos").alias("starts"))
+    return whole.union(parts).groupBy("doc", "th").agg(F.collect_set("pos").alias("starts"))
 
 
 def removed_spans(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:

@@ -73,3 +73,25 @@ def test_pieces_of_long_texts(spark, monkeypatch):
 def test_table_against_brute_force(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 3000")
     assert _check(df, 400, 224) > 0
+
+
+def test_texts_of_one_id_with_equal_short_hashes(spark):
+    """Different texts of a null id whose 32-bit hashes are equal: only the
+    one that is repeated elsewhere loses bytes."""
+    made = F.concat(*[F.sha2(F.concat(F.col("id").cast("string"), F.lit(c)), 256) for c in "abcdefg"])
+    many = spark.range(0, 250_000, 1, 4).select(made.alias("t")).withColumn("k", F.hash("t"))
+    pairs = [sorted(r.ts) for r in many.groupBy("k").agg(F.collect_list("t").alias("ts")).where(F.size("ts") > 1).collect()]
+    assert pairs
+    rows = [(None, t, "en", "s", 0) for ts in pairs for t in ts] + [(i, ts[0][:430], "en", "s", 0) for i, ts in enumerate(pairs)]
+    assert _check(edge_docs(spark, rows), 400, 224) == 2 * 430 * len(pairs)
+
+
+def test_copies_have_each_place_once(spark):
+    """Rows that repeat id and text: the places do not grow with the copies."""
+    rnd = random.Random(9)
+    base, other = ("".join(rnd.choice("abcdefgh") for _ in range(3000)) for _ in range(2))
+    rows = [(1, base, "en", "s", 0)] * 60 + [(None, other, "en", "s", 0)] * 60 + [(2, base[:1500] + other[1500:], "en", "s", 0)]
+    df = edge_docs(spark, rows)
+    starts = [list(r.starts) for r in R.repeated_starts(df).collect()]
+    assert len(starts) == 3 and all(len(x) == len(set(x)) for x in starts)
+    assert _check(df, 400, 224) > 0
