@@ -1,6 +1,6 @@
 """Operators for training-data pipelines. Nothing outside imports this package."""
 
-from casebook.llm import ann_blocks, bpe, golay_simhash, html_text, mixing, quality_rules, repeat_windows, secret_scan, topk_columnar, toxicity
+from casebook.llm import ann_blocks, bpe, golay_simhash, html_text, mixing, quality_rules, repeat_windows, secret_scan, spelling_variants, topk_columnar, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_mixing": mixing.op9_mixing,
     "op10_repeat_windows": repeat_windows.op10_repeat_windows,
+    "op11_spelling_variants": spelling_variants.op11_spelling_variants,
 }
 
 ORACLE = {
