@@ -1,6 +1,6 @@
 """Operators for training-data pipelines. Nothing outside imports this package."""
 
-from casebook.llm import ann_blocks, bpe, golay_simhash, html_text, mixing, quality_rules, repeat_windows, secret_scan, spelling_variants, topk_columnar, toxicity
+from casebook.llm import ann_blocks, bpe, filter_audit, golay_simhash, html_text, mixing, quality_rules, repeat_windows, secret_scan, spelling_variants, topk_columnar, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -14,10 +14,12 @@ QUERIES = {
     "op9_mixing": mixing.op9_mixing,
     "op10_repeat_windows": repeat_windows.op10_repeat_windows,
     "op11_spelling_variants": spelling_variants.op11_spelling_variants,
+    "op12_filter_audit": filter_audit.op12_filter_audit,
 }
 
 ORACLE = {
     "op7_ann_blocks": ann_blocks.ORACLE_SQL,
     "op2_topk_columnar": topk_columnar.ORACLE_SQL,
     "op9_mixing": mixing.ORACLE_SQL,
+    "op12_filter_audit": filter_audit.ORACLE_SQL,
 }
