@@ -1,6 +1,6 @@
 """Operators for training-data pipelines. Nothing outside imports this package."""
 
-from casebook.llm import ann_blocks, bpe, filter_audit, golay_simhash, html_text, mixing, quality_rules, repeat_windows, secret_scan, spelling_variants, topk_columnar, toxicity
+from casebook.llm import ann_blocks, bpe, filter_audit, golay_simhash, html_text, mixing, personal_data, quality_rules, repeat_windows, secret_scan, spelling_variants, topk_columnar, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_repeat_windows": repeat_windows.op10_repeat_windows,
     "op11_spelling_variants": spelling_variants.op11_spelling_variants,
     "op12_filter_audit": filter_audit.op12_filter_audit,
+    "op13_personal_data": personal_data.op13_personal_data,
 }
 
 ORACLE = {
