@@ -73,15 +73,25 @@ class LazyViews:
 # --------------------------------------------------------------------------
 
 def retail(t: Tables) -> LazyViews:
-    return LazyViews(sales_raw=lambda: _retail_sales(t), product_details=lambda: _retail_products(t))
+    v = LazyViews(
+        sales_raw=lambda: _retail_sales(t), product_details=lambda: _retail_products(t),
+        # the lines without the flag, and the flag of each transaction, for
+        # queries that can aggregate the lines before they look the flag up
+        lines=lambda: v.sales_raw.drop("member"),
+        txn_members=lambda: _retail_members(t).select(F.col("l_orderkey").alias("txn_id"), F.col("_member").alias("member")))
+    return v
 
 
-def _retail_sales(t: Tables) -> DataFrame:
-    li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")
+def _retail_members(t: Tables) -> DataFrame:
     # the member flag travels as a small integer so the key lookup is a hash
     # aggregate (a string max would need a sort-based aggregate)
     flag = F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 0)
-    o = _lookup(t.orders.select("o_orderkey", flag.alias("_member")), "o_orderkey", ["_member"], "l_orderkey")
+    return _lookup(t.orders.select("o_orderkey", flag.alias("_member")), "o_orderkey", ["_member"], "l_orderkey")
+
+
+def _retail_sales(t: Tables) -> DataFrame:
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")
+    o = _retail_members(t)
     qty = F.col("l_quantity").cast("int")
     line_cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     unit_cents = int_div(line_cents, qty.cast("bigint"))
@@ -152,7 +162,9 @@ def diner(t: Tables) -> LazyViews:
         return (t.orders.filter(F.col("o_orderpriority") == "1-URGENT")
                 .groupBy(F.col("o_custkey").alias("customer_id"))
                 .agg(F.min(_date("o_orderdate")).alias("join_date")))
-    return LazyViews(sales=sales, menu=menu, members=members)
+    def sale_customers():
+        return t.orders.select(F.col("o_custkey").alias("customer_id"))
+    return LazyViews(sales=sales, menu=menu, members=members, sale_customers=sale_customers)
 
 
 DINER_SQL = {
@@ -205,14 +217,19 @@ def delivery(t: Tables) -> LazyViews:
         .when(disc == 8, F.concat(t3, F.lit(", "), t4))
     )
     lk = F.col("l_orderkey")
+    placed = F.timestamp_add("MINUTE", _order_minute(lk), F.col("o_orderdate"))
     customer_orders = lambda: li().join(o(), "l_orderkey", "left").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("pizza_id"),
         exclusions.alias("exclusions"),
         extras.alias("extras"),
-        F.timestamp_add("MINUTE", _order_minute(lk), F.col("o_orderdate")).alias("order_time"),
+        placed.alias("order_time"),
     )
+    # the lines alone, and the time of each order, for queries that can
+    # aggregate the lines before they look the time up
+    order_lines = lambda: li().select(lk.alias("order_id"), F.col("l_partkey").alias("pizza_id"))
+    order_times = lambda: o().select(lk.alias("order_id"), placed.alias("order_time"))
 
     k = F.col("o_orderkey")
     cancelled = F.col("o_orderstatus") == "P"
@@ -249,7 +266,8 @@ def delivery(t: Tables) -> LazyViews:
         (F.col("n_nationkey") + 1).cast("int").alias("topping_id"),
         F.col("n_name").alias("topping_name"))
     return LazyViews(customer_orders_raw=customer_orders, runner_orders_raw=runner_orders,
-                     pizza_names=pizza_names, pizza_recipes=pizza_recipes, pizza_toppings=pizza_toppings)
+                     pizza_names=pizza_names, pizza_recipes=pizza_recipes, pizza_toppings=pizza_toppings,
+                     order_lines=order_lines, order_times=order_times)
 
 
 DELIVERY_SQL = {

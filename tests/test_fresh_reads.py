@@ -17,20 +17,20 @@ LARGER = "/root/testdata/sf0.01"
 def test_replaced_files_are_seen(spark, qid):
     folder = tempfile.mkdtemp(prefix="casebook-fresh-")
     for name in ("orders", "lineitem", "customer", "nation", "region", "part"):
-        shutil.copy(f"{SMALL}/{name}.parquet", folder)
+        shutil.copyfile(f"{SMALL}/{name}.parquet", os.path.join(folder, f"{name}.parquet"))
     q = se.queries()[qid]
     assert q(spark, folder).collect() == q(spark, SMALL).collect()
     for name in ("orders", "lineitem"):
-        with open(f"{LARGER}/{name}.parquet", "rb") as src, open(os.path.join(folder, f"{name}.parquet"), "wb") as out:
-            out.write(src.read())
-    crc = [f for f in os.listdir(folder) if f.endswith(".crc")]
-    assert not crc
+        # another file takes the name, as a rewritten table would
+        shutil.copyfile(f"{LARGER}/{name}.parquet", os.path.join(folder, f"{name}.new"))
+        os.replace(os.path.join(folder, f"{name}.new"), os.path.join(folder, f"{name}.parquet"))
+    assert not [f for f in os.listdir(folder) if f.endswith(".crc")]
     again = q(spark, folder).collect()
     mixed = tempfile.mkdtemp(prefix="casebook-fresh-")
     for name in ("customer", "nation", "region", "part"):
-        shutil.copy(f"{SMALL}/{name}.parquet", mixed)
+        shutil.copyfile(f"{SMALL}/{name}.parquet", os.path.join(mixed, f"{name}.parquet"))
     for name in ("orders", "lineitem"):
-        shutil.copy(f"{LARGER}/{name}.parquet", mixed)
+        shutil.copyfile(f"{LARGER}/{name}.parquet", os.path.join(mixed, f"{name}.parquet"))
     assert again == q(spark, mixed).collect() != q(spark, SMALL).collect()
 
 

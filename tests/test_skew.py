@@ -79,3 +79,102 @@ def test_downgrade_pair_counts_with_a_hot_customer(spark, skewed):
         and a.plan_id = 2 and b.plan_id = 1 and a.start_date < b.start_date
         where a.start_date < date '{ff.YEAR_END}' and b.start_date < date '{ff.YEAR_END}'""")[0][0]
     assert got == want
+
+
+# ---- joins of a fact table on a key that holds a third of its rows ----------
+
+@pytest.fixture
+def plain_joins(spark):
+    """Shuffled joins, and nothing split or merged at run time: what is
+    measured is the plan itself."""
+    new = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in new}
+    for k, v in new.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def _rows_of_tasks(df):
+    from pyspark.sql import functions as F
+    return sorted(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+
+
+def _hot_diner(spark, n=60_000):
+    from pyspark.sql import functions as F
+    ids = spark.range(n)
+    customer = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.pmod(F.xxhash64("id"), F.lit(900)))
+    day = F.date_add(F.lit("1997-01-01").cast("date"), F.pmod(F.hash("id"), F.lit(700)).cast("int"))
+    sales = ids.select(customer.alias("customer_id"), day.alias("order_date"), (F.col("id") % 40).alias("product_id"))
+    menu = spark.range(40).select(F.col("id").alias("product_id"), F.concat(F.lit("item "), (F.col("id") % 37).cast("string")).alias("product_name"),
+                                  (F.col("id") + 1).cast("decimal(12,2)").alias("price"))
+    members = spark.range(900).where("id % 5 != 1").select(F.col("id").alias("customer_id"), F.lit(dt.date(1997, 10, 1)).alias("join_date"))
+    return SimpleNamespace(sales=sales, menu=menu, members=members)
+
+
+@pytest.mark.parametrize("qid", ["dn_06", "dn_06_intended", "dn_07", "dn_07_intended", "dn_08", "dn_10", "dn_10_intended"])
+def test_member_joins_split_a_hot_customer(spark, plain_joins, monkeypatch, qid):
+    from casebook.plans import diner
+    src = _hot_diner(spark)
+    joined, real = [], diner.hot_join
+
+    def noted(*args, **kwargs):
+        joined.append(real(*args, **kwargs))
+        return joined[-1]
+    monkeypatch.setattr(diner, "hot_join", noted)
+    got = sorted(map(tuple, Q[qid](spark, src).collect()))
+    tasks = _rows_of_tasks(joined[0])
+    assert len(tasks) >= 12 and tasks[-1] <= 4 * tasks[len(tasks) // 2]
+    monkeypatch.setattr(diner, "hot_join", lambda rows, right, key, **_: rows.join(right, key))
+    assert got == sorted(map(tuple, Q[qid](spark, src).collect())) and got
+
+
+def test_hot_join_equals_join(spark, plain_joins):
+    """Several heavy keys, NULL keys, keys without a match, repeated keys on
+    the other side; inner and left."""
+    from pyspark.sql import functions as F
+    from casebook.operators.skew import hot_join
+    ids = spark.range(20_000)
+    key = (F.when(F.col("id") % 4 == 0, F.lit("a")).when(F.col("id") % 5 == 0, F.lit("none")).when(F.col("id") % 7 == 0, F.lit(None).cast("string"))
+           .otherwise((F.pmod(F.hash("id"), F.lit(500))).cast("string")))
+    facts = ids.select(key.alias("k"), "id")
+    right = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)] + [(str(i), i) for i in range(450)], "k string, v int")
+    for how in ("inner", "left"):
+        split = hot_join(facts, right, "k", how)
+        assert sorted(map(repr, split.collect())) == sorted(map(repr, facts.join(right, "k", how).collect()))
+        tasks = _rows_of_tasks(split)
+        assert tasks[-1] <= 4 * tasks[len(tasks) // 2]
+    assert hot_join(facts.limit(0), right, "k").count() == 0
+    with pytest.raises(ValueError):
+        hot_join(facts, right, "k", "full")
+
+
+@pytest.mark.parametrize("qid", ["bt_08", "bt_09", "pr_06", "pr_12"])
+def test_hot_order_joins_as_one_row(spark, plain_joins, qid):
+    """Every join's inputs are at most one row per order and split of the
+    lines: the lines are aggregated below the join."""
+    plan = Q[qid](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    sides = plan.split("Join ")[1:]
+    assert sides
+    lines = plan.splitlines()
+    at = next(i for i, x in enumerate(lines) if "l_orderkey" in x and "parquet" in x)
+    depth = len(lines[at]) - len(lines[at].lstrip(" :+-"))
+    above = [x for x in lines[:at] if len(x) - len(x.lstrip(" :+-")) < depth]
+    joins = [i for i, x in enumerate(above) if " Join" in x or x.lstrip(" :+-").startswith("Join")]
+    assert any("Aggregate" in x for x in above[max(joins) + 1:])
+
+
+@pytest.mark.parametrize("qid", ["dn_03", "dn_06", "dn_07", "ff_06", "ff_07"])
+def test_firsts_are_hash_aggregates(spark, qid):
+    plan = Q[qid](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    sorted_ones = [x for x in plan.splitlines() if "SortAggregate" in x]
+    # the name of a product is text, picked among one row a customer
+    assert all(qid == "dn_03" and "min(product_name" in x for x in sorted_ones)
+    assert "HashAggregate(keys=[customer_id" in plan
+
+
+@pytest.mark.parametrize("qid", ["dn_03_intended", "dn_06_intended", "dn_07_intended"])
+def test_ties_read_the_facts_once(spark, qid):
+    plan = Q[qid](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "WindowGroupLimit" in plan and sum("l_partkey" in x and "parquet" in x for x in plan.splitlines()) == 1
