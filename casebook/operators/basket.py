@@ -140,14 +140,16 @@ def triple_counts(items: DataFrame, basket: str, item: str, k: int = 1,
     index = basket_bitmaps(items, basket, item)
     support = index.groupBy("item").agg(F.sum(F.bitmap_count("bits")).alias("s"))
 
-    # the k-th best seed triple count is a lower bound for the k-th best overall
-    seed = support.orderBy(F.desc("s"), F.asc("item")).limit(seed_items).select("item")
-    seeds = index.join(F.broadcast(seed), "item", "left_semi")     # at most seed_items items
+    # Items are unique below, so these inner joins filter; unlike semi-joins
+    # they stay above the aggregate, and all uses of the index share one shuffle.
+    # The k-th best seed triple count is a lower bound for the k-th best overall.
+    seed = support.orderBy(F.desc("s"), F.asc("item")).limit(seed_items).withColumn("seeded", F.lit(True))
+    seeds = index.join(F.broadcast(seed), "item").where("seeded").select("bucket", "item", "bits")     # at most seed_items items
     kth = (_counted(seeds, 3).orderBy(F.desc("n")).limit(k)
            .agg(F.when(F.count(F.lit(1)) >= k, F.min("n")).otherwise(F.lit(1)).alias("best")))
     bound = F.coalesce(kth.scalar(), F.lit(1))
 
-    frequent = index.join(support.where(F.col("s") >= bound).select("item"), "item", "left_semi")
+    frequent = index.join(support.where(F.col("s") >= bound), "item").select("bucket", "item", "bits")
     pairs = _counted(frequent, 2).where(F.col("n") >= bound)
     partners = pairs.groupBy(F.col("i1").alias("item")).agg(F.collect_list("i2").alias("partners"))
     candidates = frequent.join(partners, "item", "left").withColumn(

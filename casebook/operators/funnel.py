@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from casebook.functions.numeric import percent
 from casebook.operators.agg import count_where
+from casebook.operators.intervals import interval_join
 
 VIEW, CART_ADD, PURCHASE, IMPRESSION, CLICK = 1, 2, 3, 4, 5
+_BLOCK_BITS = 20  # sequence numbers of one piece of an ordered list: 2^20
 
 
 def visit_flags(events: DataFrame, flags: dict[str, Column], by: tuple[str, ...] = ()) -> DataFrame:
@@ -55,10 +57,11 @@ def visit_summary(events: DataFrame, users: DataFrame, pages: DataFrame,
     et = F.col("event_type")
     lo, hi = product_pages
     in_cart = (F.col("page_id") >= lo) & (F.col("page_id") <= hi) & (et == CART_ADD)
-    items = F.collect_list(F.when(in_cart, F.struct(F.col("sequence_number").alias("s"),
-                                                    F.col("product_id").alias("p"))))
     joined = events.join(users, "cookie_id").join(pages, "page_id")
-    per = joined.groupBy("visit_id", "user_id").agg(
+    # Ordered lists merge by blocks of the sequence: a block becomes one piece
+    # of text, so a visit of very many cart adds is never one list of them.
+    items = F.array_sort(F.collect_list(F.when(in_cart, F.struct(F.col("sequence_number").alias("s"), F.col("product_id").alias("p")))))
+    pieces = joined.groupBy("visit_id", "user_id", F.shiftright(F.col("sequence_number").cast("bigint"), _BLOCK_BITS).alias("_block")).agg(
         F.min("event_time").alias("visit_start_time"),
         F.count("page_id").alias("page_views"),
         count_where(et == CART_ADD, et).alias("cart_adds"),
@@ -66,21 +69,19 @@ def visit_summary(events: DataFrame, users: DataFrame, pages: DataFrame,
         count_where(et == IMPRESSION, et).alias("impressions"),
         count_where(et == CLICK, et).alias("click"),
         items.alias("_items"))
-    ordered = F.transform(F.array_sort("_items"), lambda x: x["p"].cast("string"))
-    return per.withColumn("cart_products", F.when(F.size("_items") > 0, F.array_join(ordered, ","))).drop("_items")
+    piece = F.array_join(F.transform("_items", lambda x: x["p"].cast("string")), ",")
+    pieces = pieces.select("*", F.when(F.size("_items") > 0, F.struct("_block", piece.alias("text"))).alias("_piece")).drop("_items")
+    per = pieces.groupBy("visit_id", "user_id").agg(
+        F.min("visit_start_time").alias("visit_start_time"),
+        *[F.sum(c).alias(c) for c in ("page_views", "cart_adds")], F.max("purchase").alias("purchase"),
+        *[F.sum(c).alias(c) for c in ("impressions", "click")], F.array_sort(F.collect_list("_piece")).alias("_pieces"))
+    texts = F.filter(F.transform("_pieces", lambda x: x["text"]), lambda t: t != "")
+    return per.withColumn("cart_products", F.when(F.size("_pieces") > 0, F.array_join(texts, ","))).drop("_pieces")
 
 
 def attach_campaign(visits: DataFrame, campaigns: DataFrame, how: str = "inner") -> DataFrame:
-    """Campaign(s) whose [start_date, end_date] contains the visit start.
-
-    Both sides are keyed by calendar day (a campaign expands to the days it
-    covers) and joined on the day, with the exact time range as the join
-    condition, so no visit meets a campaign that does not overlap its day."""
-    cond = (F.col("visit_start_time") >= F.col("start_date")) & (F.col("visit_start_time") <= F.col("end_date"))
-    days = campaigns.withColumn("_day", F.explode(F.sequence(F.to_date("start_date"), F.to_date("end_date"))))
-    keyed = visits.withColumn("_day", F.to_date("visit_start_time"))
-    return (keyed.join(days, (keyed["_day"] == days["_day"]) & cond, how)
-            .drop("_day", "start_date", "end_date"))
+    """Campaign(s) whose [start_date, end_date] contains the visit start."""
+    return interval_join(visits, campaigns, "visit_start_time", "start_date", "end_date", how).drop("start_date", "end_date")
 
 
 def product_funnel_by_visit_purchase(events: DataFrame, key: str, not_purchased_name: str) -> DataFrame:

@@ -44,15 +44,14 @@ def month_end_balances(txns: DataFrame) -> DataFrame:
     customer's first active month to the last month in the ledger (months
     with no transaction carry the previous balance).
 
-    The calendar spine is one row per (customer, month) built with
-    ``sequence``; its size is customers x months, independent of how many
-    transactions a customer has."""
+    A month with transactions is repeated up to the month before the customer's
+    next one: no calendar is built beside the ledger and nothing is joined
+    back; the customer's rows are shuffled once, as monthly sums."""
     m = F.trunc(F.col(DATE), "month")
-    flows = txns.groupBy(KEY, m.alias("month")).agg(F.sum(signed_amount()).alias("net"))
+    flows = txns.where(F.col(DATE).isNotNull()).groupBy(KEY, m.alias("month")).agg(F.sum(signed_amount()).alias("net"))
     last = txns.agg(F.max(F.trunc(F.col(DATE), "month"))).scalar()
-    firsts = flows.groupBy(KEY).agg(F.min("month").alias("first"))
-    spine = firsts.select(KEY, F.explode(F.sequence("first", last, F.expr("interval 1 month"))).alias("month"))
-    w = Window.partitionBy(KEY).orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
-    return (spine.join(flows, [KEY, "month"], "left")
-            .withColumn("closing_balance", F.sum(F.coalesce(F.col("net"), F.lit(0))).over(w))
-            .select(KEY, "month", "closing_balance"))
+    w = Window.partitionBy(KEY).orderBy("month")
+    closed = flows.select(KEY, "month", F.sum(F.coalesce(F.col("net"), F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("closing_balance"),
+                          F.add_months(F.lead("month").over(w), -1).alias("until"))
+    months = F.sequence("month", F.coalesce("until", last), F.expr("interval 1 month"))
+    return closed.select(KEY, F.explode(months).alias("month"), "closing_balance")

@@ -16,6 +16,33 @@ def _window_sums(before: Column, after: Column, value: str) -> list[Column]:
             F.sum(F.when(after, v)).cast(TOTAL).alias("_after")]
 
 
+def window_days(baseline: dt.date, weeks: int) -> tuple[dt.date, dt.date]:
+    """The first and last day that either window around ``baseline`` reads."""
+    return baseline - dt.timedelta(weeks=weeks), baseline + dt.timedelta(weeks=weeks)
+
+
+def days_of_weeks(first: dt.date, last: dt.date) -> tuple[dt.date, dt.date]:
+    """Predicate inversion of ``date_trunc('week', d) between first and last``:
+    the half-open range of days ``d`` that it accepts, so that a filter on the
+    derived week becomes a range on the stored date. Weeks start on Monday."""
+    def monday(d: dt.date) -> dt.date:
+        return d - dt.timedelta(days=d.weekday())
+    start = monday(first + dt.timedelta(days=6))
+    return start, max(start, monday(last) + dt.timedelta(days=7))
+
+
+def day_texts(first: dt.date, last: dt.date) -> list[str]:
+    """Predicate inversion of a text date, day/month/year: every text, with or
+    without leading zeros and with four or two digits of the year, that means
+    a day from ``first`` to ``last``. Two digits stand for 2000 to 2099."""
+    out = []
+    for n in range((last - first).days + 1):
+        d = first + dt.timedelta(days=n)
+        years = [f"{d.year:04d}"] + [f"{d.year % 100:02d}"] * (2000 <= d.year <= 2099)
+        out += [f"{a}/{b}/{y}" for a in {str(d.day), f"{d.day:02d}"} for b in {str(d.month), f"{d.month:02d}"} for y in years]
+    return sorted(out)
+
+
 def around_date_as_written(df: DataFrame, date_col: str, value: str, baseline: dt.date, weeks: int,
                            by: tuple[str, ...] = ()) -> DataFrame:
     """The study's form: both windows are closed and share the baseline week;

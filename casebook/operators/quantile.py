@@ -4,16 +4,15 @@
 groups) sorts every row of a group in one task. ``ordinal_pick`` returns the
 same value, the one at a given 1-based rank of the ascending order:
 
-1. collapse equal values to (group, value, multiplicity): map-side combined,
-   so a value repeated a billion times costs one row;
-2. cut the value axis into chunks by an order-preserving expression of the
+1. cut the value axis into chunks by an order-preserving expression of the
    value (its sign and 1/1024 octaves of its size), so a hot group is spread
    over many tasks and a heavy tail over few chunks; the chunk is a function
    of the value, so no ranges are sampled and nothing is written in between;
-3. per (group, chunk) multiplicity totals; running sums over them give each
-   chunk's rank offset;
-4. only the chunks that hold a wanted rank are ranked exactly, each in its
-   own task, by a running sum of multiplicities.
+2. count rows per (group, chunk), combined map-side: this first pass sends a
+   few thousand counts, however many values there are. Running sums over them
+   give each chunk's rank offset and the chunks that hold a wanted rank;
+3. a second pass reads only the values of those chunks, collapses equal ones
+   to (value, multiplicity), and ranks them by a running sum, a chunk a task.
 
 Input values must be non-NULL.
 """
@@ -61,13 +60,12 @@ def ordinal_pick(df: DataFrame, value: str, picks: dict[str, RankFn],
     # the group is carried as one struct column: struct equality is
     # null-safe, so a NULL group key joins back to itself like any other
     gk = F.struct(*[F.col(b) for b in by]) if by else F.lit(0)
-    counts = df.groupBy(gk.alias("_gk"), F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
     keys = ["_gk"]
-    ranged = counts.withColumn("_chunk", value_chunk(F.col("_v")))
+    ranged = df.select(gk.alias("_gk"), F.col(value).alias("_v"), value_chunk(F.col(value)).alias("_chunk"))
 
     # chunk offsets within each group (rows: groups + chunks)
     wc = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0)
-    chunks = (ranged.groupBy(*keys, "_chunk").agg(F.sum("_c").alias("_cc"))
+    chunks = (ranged.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_cc"))
               .withColumn("_end", F.sum("_cc").over(wc))
               .withColumn("_start", F.col("_end") - F.col("_cc")))
     sizes = chunks.groupBy(*keys).agg(F.max("_end").alias("_n"))
@@ -81,6 +79,7 @@ def ordinal_pick(df: DataFrame, value: str, picks: dict[str, RankFn],
     # exact ranks inside the few chunks that hold a target
     wv = Window.partitionBy(*keys, "_chunk").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (ranged.join(located.select(*keys, "_chunk").distinct(), keys + ["_chunk"], "left_semi")
+              .groupBy(*keys, "_chunk", "_v").agg(F.count(F.lit(1)).alias("_c"))
               .withColumn("_cend", F.sum("_c").over(wv)))
     hits = ranked.join(located, keys + ["_chunk"]).where(
         (F.col("_r") > F.col("_start") + F.col("_cend") - F.col("_c"))

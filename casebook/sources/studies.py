@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.functions.numeric import MONEY, TOTAL, int_div, money
+from casebook.operators.period import days_of_weeks
 from casebook.operators.sequence import neighbor
 from casebook.sources.tables import Tables
 
@@ -486,10 +487,13 @@ BANK_SQL = {
 # --------------------------------------------------------------------------
 
 def mart(t: Tables) -> LazyViews:
-    return LazyViews(weekly_sales_raw=lambda: _mart_weekly(t))
+    return LazyViews(
+        weekly_sales_raw=lambda: _mart_weekly(t),
+        # the weeks from one day to another, by a range on the orders' date
+        weekly_between=lambda: lambda first, last: _mart_weekly(t, days_of_weeks(first, last)))
 
 
-def _mart_weekly(t: Tables) -> DataFrame:
+def _mart_weekly(t: Tables, days: tuple[dt.date, dt.date] | None = None) -> DataFrame:
     cust = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
     geo = t.nation.select("n_nationkey", "n_regionkey").join(
         t.region.select(F.col("r_regionkey").alias("n_regionkey"), "r_name"), "n_regionkey")
@@ -497,8 +501,12 @@ def _mart_weekly(t: Tables) -> DataFrame:
               .when(F.col("c_mktsegment").isin("FURNITURE", "HOUSEHOLD"), F.lit("F")))
     segment = F.when(letter.isNull(), F.lit("null")).otherwise(
         F.concat(letter, ((F.col("c_nationkey") % 4) + 1).cast("string")))
+    orders = t.orders
+    if days is not None:
+        kind = orders.schema["o_orderdate"].dataType
+        orders = orders.where((F.col("o_orderdate") >= F.lit(days[0]).cast(kind)) & (F.col("o_orderdate") < F.lit(days[1]).cast(kind)))
     rows = (
-        t.orders.select("o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_totalprice")
+        orders.select("o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_totalprice")
         .join(cust, F.col("o_custkey") == F.col("c_custkey"))
         .join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
