@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import json
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -193,20 +194,17 @@ def _range_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _steps() -> Column:
-    """All orders with, for each step, the filter and the places in the sums."""
+    """All orders with, for each step, the filter and the places in the sums;
+    one literal, as the plan would grow with hundreds of them."""
     out = []
     for order in itertools.permutations(range(5)):
         before, done = 0, []
-        name = "".join(FILTERS[f] for f in order)
         for step, f in enumerate(order, 1):
-            at = slot(f, before)
-            done.append(at)
-            others = 31 ^ 1 << f
-            fields = [F.lit(name).alias("filter_order"), F.lit(step).alias("step"), F.lit(f).alias("f"), F.lit(at).alias("at"),
-                      F.array(*[F.lit(x) for x in done]).alias("done"), F.lit(slot(f, 0)).alias("alone"), F.lit(slot(f, others)).alias("only")]
-            out.append(F.struct(*fields))
+            done.append(slot(f, before))
+            out.append({"filter_order": "".join(FILTERS[g] for g in order), "step": step, "f": f, "at": done[-1], "done": list(done),
+                        "alone": slot(f, 0), "only": slot(f, 31 ^ 1 << f)})
             before |= 1 << f
-    return F.array(*out)
+    return F.from_json(F.lit(json.dumps(out)), "array<struct<filter_order:string,step:int,f:int,at:int,done:array<int>,alone:int,only:int>>")
 
 
 def audit(rows: DataFrame) -> DataFrame:
