@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,11 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The reliable checkpoint folder: the context's own if one is set, else
-    the one that ``spark.checkpoint.dir`` names. Only a session with neither
-    (a local test) gets a temp folder."""
+    the one that ``spark.checkpoint.dir`` names. With neither, a local session
+    (a test) gets a temp folder; on a cluster, whose executors do not share
+    the driver's disk, that is an error."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         named = sc.getConf().get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("no checkpoint folder: set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="casebook-llm-"))
     return sc._jsc.sc().getCheckpointDir().get()
 

@@ -11,11 +11,12 @@ Nothing is summed in one task. Running sums are taken in two levels: sums per
 sums, and a window inside each such bucket. The cut is found the same way:
 sums per finish-time bucket, then a window over the one bucket in which the
 budget ends. A source that holds a third of the rows is spread over all its
-key buckets.
+key buckets, and so is a null or repeated id: the key is a hash of id and text.
 
 Defined cases: a null text has size 0; a null source is a source of its own,
 ordered last; a null id hashes like the empty string; rows that repeat id and
-text each count as a document; documents of size 0 are never taken; an empty
+text each count as a document, and which of them is taken is told by their
+``keep`` columns, so reruns agree in whatever they carry; documents of size 0 are never taken; an empty
 table gives an empty result. Extra columns are carried only if named in
 ``keep``.
 """
@@ -87,7 +88,7 @@ def mix_sources(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, max_repe
         return docs.select(
             F.col(id_col).alias("doc_id"), _key(F.col(source_col)).alias("sk"),
             word_count(F.col(text_col)).alias("size"),
-            F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("key"),
+            F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(F.col(text_col), F.lit(""))))).alias("key"),
             *[F.col(c).alias(f"keep_{c}") for c in extra])
 
     thin = checkpointed(rows())
@@ -105,10 +106,11 @@ def mix_sources(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, max_repe
     offsets = (sums.withColumn("start", F.coalesce(F.sum("in_bucket").over(before), F.lit(0)))
                .join(targets, "sk").drop("in_bucket", "budget"))
 
-    inside = (Window.partitionBy("sk", "kb").orderBy("key", "doc_id", "size")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-
     def queued(frame: DataFrame) -> DataFrame:
+        # rows of one key differ in kept columns at most; these break the tie
+        kept = [c for c in frame.columns if c.startswith("keep_")]
+        inside = (Window.partitionBy("sk", "kb").orderBy("key", "doc_id", "size", *kept)
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return (frame.withColumn("kb", part).join(offsets, ["sk", "kb"])
                 .withColumn("upto", F.col("start") + F.sum("size").over(inside)))
 
@@ -154,7 +156,7 @@ _RE = r"[^\x20\x09-\x0D]+"
 ORACLE_SQL = rf"""
 with d as (
   select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '{_RE}')), 0) as bigint) as size,
-         md5(coalesce(cast(doc_id as varchar), '')) as key, row_number() over () as rn
+         md5(coalesce(cast(doc_id as varchar), '') || ':' || md5(coalesce(text, ''))) as key, row_number() over () as rn
   from documents),
 s as (
   select source, cast(sum(size) as bigint) as source_size,

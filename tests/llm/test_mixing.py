@@ -40,3 +40,31 @@ def test_water_level(spark):
     t = {r.source: r.target for r in mixing.source_targets(sizes).collect()}
     assert t["a"] == 20 and t[None] == 8                       # stopped at twice their size
     assert t["b"] == pytest.approx(2 * t["c"]) and sum(t.values()) == pytest.approx(1.5 * 2014)
+
+
+def test_one_id_with_many_texts_gives_the_same_texts(spark):
+    """Null and repeated ids: the texts and columns taken do not depend on how
+    the rows are dealt, and the rows of one id are spread over the key buckets."""
+    rows = [(7 if i % 2 else None, f"w{i} and five other words here", "en", "s0", i) for i in range(400)]
+    rows += [(7, "same text of six words here", "en" if i % 2 else "de", "s0", i) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = [rows_of(mixing.mix_sources(df.repartition(n), keep=("text", "lang", "n_chars")).where("taken > 0").select("text", "lang", "n_chars", "taken"))
+           for n in (1, 3, 7)]
+    assert got[0] == got[1] == got[2] and 0 < sum(r[3] == 6 for r in got[0])
+    from pyspark.sql import functions as F
+    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5("text")))
+    largest = df.where("doc_id = 7").groupBy(F.substring(key, 1, 2)).count().agg(F.max("count")).first()[0]
+    assert largest < 60
+
+
+def test_no_folder_on_a_cluster_is_an_error():
+    from types import SimpleNamespace
+    from casebook.llm._common import shared_folder
+
+    def session(master):
+        context = SimpleNamespace(master=master, _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: SimpleNamespace(isEmpty=lambda: True))),
+                                  getConf=lambda: SimpleNamespace(get=lambda key, default: None))
+        return SimpleNamespace(sparkContext=context)
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,3000]", "k8s://x"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(session(master))
