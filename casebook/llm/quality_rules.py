@@ -160,15 +160,17 @@ class RuleModel:
 # -- fitting and scoring -------------------------------------------------------
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", text_col: str = "text",
         id_col: str = "doc_id", folds: int = 5, train_rows: int = 20_000, **tree_options) -> RuleModel:
-    """Fits on at most ``train_rows`` labelled rows outside fold 0. Only that
-    sample's statistics come to the driver (nine numbers a row)."""
+    """Fits on at most ``train_rows`` labelled rows outside fold 0; equal ones
+    count once. Only their statistics come to the driver (nine numbers a row)."""
     sample = (labels.select(F.col(id_col).alias("__id"), F.col(label_col).alias("__y"))
               .where("__y is not null and __id is not null").where(F.crc32(F.col("__id").cast("string")) % folds != 0)
               .orderBy(F.xxhash64("__id"), "__id", "__y").limit(train_rows))
     # at most train_rows rows of two numbers
     train = docs.select(id_col, text_col).join(F.broadcast(sample), F.col(id_col) == F.col("__id")).select("__id", "__y", F.col(text_col).alias("__text"))
     stats, names = statistics(train, "__text", keep=("__id", "__y"))
-    rows = stats.toPandas().sort_values(["__id", "__y", *names])
+    # bounded after the join as well, however often ids repeat
+    rows = (stats.distinct().orderBy(F.xxhash64("__id", "__y", *names), "__id", "__y", *names).limit(train_rows)
+            .toPandas()).sort_values(["__id", "__y", *names])
     if not len(rows):
         return RuleModel(0.0, ())
     x, y = rows[names].to_numpy(dtype=float), (rows["__y"].to_numpy() > 0).astype(float)

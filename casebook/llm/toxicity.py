@@ -235,8 +235,9 @@ def _lexicon(train: DataFrame, least_ratio: float, least_rate: float, weak_rate:
     return {r["p"]: "I" if r["k1"] >= least_rate * r["n"] else "W" for r in best}
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, ridge: float = 0.3, rounds: int = 60) -> tuple[float, np.ndarray]:
-    """Newton steps of a logistic regression pulled towards ``prior``."""
+def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, prior: np.ndarray, ridge: float = 0.3, rounds: int = 60) -> tuple[float, np.ndarray]:
+    """Newton steps of a logistic regression pulled towards ``prior``; row i
+    stands for ``n[i]`` equal ones."""
     z = np.hstack([np.ones((len(x), 1)), x])
     pull = np.full(z.shape[1], ridge)
     pull[0] = 1e-3
@@ -244,8 +245,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, ridge: float = 0.
     w = mid.copy()
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -40, 40)))
-        grad = z.T @ (p - y) + pull * (w - mid)
-        step = np.linalg.solve((z * (p * (1 - p) + 1e-6)[:, None]).T @ z + np.diag(pull), grad)
+        grad = z.T @ (n * (p - y)) + pull * (w - mid)
+        step = np.linalg.solve((z * (n * (p * (1 - p) + 1e-6))[:, None]).T @ z + np.diag(pull), grad)
         w -= np.clip(step, -1, 1)
         if np.abs(step).max() < 1e-6:
             break
@@ -275,15 +276,15 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", text_col:
     train = (docs.select(id_col, text_col).join(F.broadcast(sample), F.col(id_col) == F.col("__id"))
              .select((F.col("__y") > 0).cast("int").alias("y"), F.col(text_col).cast("binary").alias("t")))
     lexicon = _lexicon(train, least_ratio, least_rate, weak_rate, most_patterns)
-    # at most train_rows rows of a few numbers
-    rows = _counted(train, lexicon, ["y"]).groupBy("y", "counts").count().toPandas()
+    # at most train_rows rows of a few numbers, however often ids repeat
+    rows = (_counted(train, lexicon, ["y"]).groupBy("y", "counts").count()
+            .orderBy(F.desc("count"), "y", "counts").limit(train_rows).toPandas())
     if not len(rows):
         return Grammar(lexicon, -3.0, _PRIOR)
     rows["key"] = rows["counts"].map(tuple)
     rows = rows.sort_values(["y", "key"])
-    x = np.repeat(features(np.array(rows["key"].tolist())), rows["count"], axis=0)
-    y = np.repeat(rows["y"].to_numpy(dtype=float), rows["count"])
-    bias, w = _logistic(x, y, np.array(_PRIOR))
+    x, y = features(np.array(rows["key"].tolist())), rows["y"].to_numpy(dtype=float)
+    bias, w = _logistic(x, y, rows["count"].to_numpy(dtype=float), np.array(_PRIOR))
     return Grammar(lexicon, bias, tuple(w))
 
 
