@@ -281,4 +281,5 @@ def remove_repeats(df: DataFrame, length: int = 400, gram: int = 224, text_col:
 
 def op10_repeat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+                      (F.col("n_removed") > 0).cast("int").alias("has_repeats"))
