@@ -74,3 +74,25 @@ def test_bound_tile_prunes_and_stays_exact():
     for i in range(50):
         order = np.lexsort((np.arange(6000), -full[i]))[:20]
         assert ids[qi == i].tolist() == (order + 100).tolist() and s[qi == i].tolist() == full[i][order].tolist()
+
+
+@pytest.mark.parametrize("kind", ["bound", "int8"])
+def test_block_of_several_tiles(monkeypatch, kind):
+    """A query block larger than one matrix gives what single tiles give."""
+    import numpy as np
+    from casebook.llm import _tiles
+    from casebook.llm.ann_blocks import Int8Tile
+    from casebook.llm.topk_columnar import BoundTile
+    monkeypatch.setattr(_tiles, "_ROWS", 7)
+    rnd = np.random.default_rng(4)
+    q, c = np.floor(rnd.normal(0, 20, (30, 6))), np.floor(rnd.normal(0, 20, (200, 6)))
+    qid, cid = np.arange(1000, 1030), np.arange(200)
+    block = _tiles.Block({"bound": BoundTile, "int8": Int8Tile}[kind], qid, q, 5)
+    for at in range(0, 200, 50):
+        block.add(cid[at:at + 50], c[at:at + 50])
+    got = {}
+    for i, v, s in zip(*block.best()):
+        got.setdefault(int(i), []).append((float(s), -int(v)))
+    for i in range(30):
+        want = sorted(((float(s), -int(v)) for v, s in zip(cid, c @ q[i])), reverse=True)[:5]
+        assert sorted(got[i], reverse=True) == want
